@@ -59,10 +59,6 @@ class BatchStore:
     def ledger_folder(self) -> str:
         return f"{self.root}/ledger"
 
-    @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
-
     def ledger(self, spark: SparkSession, date_type=None) -> DataFrame:
         schema = ledger_schema(date_type) if date_type else ledger_schema()
         return spark.read.schema(StructType([*schema.fields]).add("batch", IntegerType())).parquet(
@@ -77,9 +73,14 @@ class BatchStore:
         )
         return stored.join(complete, "batch_id", "left_semi").select(*schema.fieldNames(), "batch_id")
 
+    def corrupt_messages(self, spark: SparkSession) -> DataFrame:
+        """Messages that were no record: stored beside the rows, out of the way of the table."""
+        texts = spark.read.schema(f"{CORRUPT} string, batch_id int").parquet(self.rows)
+        return texts.filter(F.col(CORRUPT).isNotNull()).select("batch_id", F.col(CORRUPT).alias("value"))
+
 
 def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column: str) -> None:
-    """Write one micro-batch; messages are parsed once, on the way to the table.
+    """Write one micro-batch; its messages are read and parsed once, on the way to the table.
 
     The ledger figures are taken from that same write, and the snapshot is a copy of the
     stored columns.
@@ -95,13 +96,9 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
         F.unix_micros(F.min(date_column).cast("timestamp")).alias("low"),
         F.unix_micros(F.max(date_column).cast("timestamp")).alias("high"),
     )
-    rows = [c for c in batch.columns if c != CORRUPT]
-    partition = overwrite_batch(observed.select(*[f"`{c}`" for c in rows]), store.rows, batch_id)
+    partition = overwrite_batch(observed, store.rows, batch_id)
     figures = seen.get
 
-    if figures.get("corrupt_count"):
-        overwrite_batch(batch.filter(corrupt).select(CORRUPT), store.quarantine, batch_id)
-
     def moment(micros):
         return F.timestamp_micros(F.lit(micros).cast("long")).cast(date_type)
 
@@ -118,8 +115,8 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
         "snapshot_path", snapshot_folder(store.snapshots, F.year("min_datestamp"), "batch")
     )
     path = ledger_row.select("snapshot_path").first()["snapshot_path"]
-    stored_schema = StructType([batch.schema[c] for c in rows])
-    spark.read.schema(stored_schema).parquet(partition).write.mode("overwrite").parquet(path)
+    record_schema = StructType([f for f in batch.schema if f.name != CORRUPT])
+    spark.read.schema(record_schema).parquet(partition).write.mode("overwrite").parquet(path)
 
     names = ledger_schema().fieldNames()
     overwrite_batch(ledger_row.select(*names).coalesce(1), store.ledger_folder, batch_id, "batch")
