@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions.text import batch_label, trailing_number
 
+# Root folder, year of the batch's first date (or UNKNOWN_YEAR), batch number.
+SNAPSHOT_FOLDER = "%s/year=%s/batch_id=%s"
+UNKNOWN_YEAR = "unknown"
+
 
 def ledger_rows(df: DataFrame, batch_column: str, date_column: str, snapshot_root: str) -> DataFrame:
     """One ledger row per batch number found in ``df``, in a single aggregation."""
@@ -18,18 +22,17 @@ def ledger_rows(df: DataFrame, batch_column: str, date_column: str, snapshot_roo
         "min_datestamp",
         "max_datestamp",
         batch_label("batch", "Batch %s").alias("description"),
-        snapshot_folder(snapshot_root, F.year("min_datestamp"), "batch").alias("snapshot_path"),
+        F.format_string(
+            SNAPSHOT_FOLDER,
+            F.lit(snapshot_root),
+            F.coalesce(F.year("min_datestamp").cast("string"), F.lit(UNKNOWN_YEAR)),
+            F.col("batch").cast("string"),
+        ).alias("snapshot_path"),
         "row_count",
         F.lit(0).cast("long").alias("corrupt_count"),
     )
 
 
-def snapshot_folder(root: str, year, batch):
-    """Column with the folder of a batch's snapshot, by the year of its first date."""
-    known = F.coalesce(year.cast("string"), F.lit("unknown"))
-    return F.format_string(f"{root}/year=%s/batch_id=%s", known, F.col(batch).cast("string"))
-
-
 def latest_batch(ledger: DataFrame) -> DataFrame:
     """The ledger row with the greatest batch number; ``batch_10`` comes after ``batch_9``."""
     return (

@@ -38,6 +38,7 @@ def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tarnlake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

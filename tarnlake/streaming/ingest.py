@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from tarnlake.functions.records import parse_record
-from tarnlake.operators.batches import snapshot_folder
+from tarnlake.operators.batches import SNAPSHOT_FOLDER, UNKNOWN_YEAR
 from tarnlake.schemas import TIMESTAMP_FORMAT, ledger_schema
 from tarnlake.sources.tables import overwrite_batch
 
@@ -95,31 +95,28 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
         F.count_if(corrupt).alias("corrupt_count"),
         F.unix_micros(F.min(date_column).cast("timestamp")).alias("low"),
         F.unix_micros(F.max(date_column).cast("timestamp")).alias("high"),
+        F.year(F.min(date_column)).alias("year"),
     )
     partition = overwrite_batch(observed, store.rows, batch_id)
     figures = seen.get
 
+    record_schema = StructType([f for f in batch.schema if f.name != CORRUPT])
+    snapshot = SNAPSHOT_FOLDER % (store.snapshots, figures.get("year") or UNKNOWN_YEAR, batch_id)
+    spark.read.schema(record_schema).parquet(partition).write.mode("overwrite").parquet(snapshot)
+
     def moment(micros):
         return F.timestamp_micros(F.lit(micros).cast("long")).cast(date_type)
 
-    facts = spark.range(1).select(
+    ledger_row = spark.range(0, 1, 1, 1).select(
         F.lit(f"batch_{batch_id}").alias("version_id"),
         moment(figures.get("low")).alias("min_datestamp"),
         moment(figures.get("high")).alias("max_datestamp"),
         F.lit(f"Batch {batch_id}").alias("description"),
+        F.lit(snapshot).alias("snapshot_path"),
         F.lit(figures.get("row_count", 0)).cast("long").alias("row_count"),
         F.lit(figures.get("corrupt_count", 0)).cast("long").alias("corrupt_count"),
-        F.lit(batch_id).alias("batch"),
-    )
-    ledger_row = facts.withColumn(
-        "snapshot_path", snapshot_folder(store.snapshots, F.year("min_datestamp"), "batch")
     )
-    path = ledger_row.select("snapshot_path").first()["snapshot_path"]
-    record_schema = StructType([f for f in batch.schema if f.name != CORRUPT])
-    spark.read.schema(record_schema).parquet(partition).write.mode("overwrite").parquet(path)
-
-    names = ledger_schema().fieldNames()
-    overwrite_batch(ledger_row.select(*names).coalesce(1), store.ledger_folder, batch_id, "batch")
+    overwrite_batch(ledger_row, store.ledger_folder, batch_id, "batch")
 
 
 def ingest(

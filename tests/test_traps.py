@@ -35,6 +35,16 @@ def test_text_that_is_no_number_is_null(spark):
     assert column(df.select(decimal_comma("v"))) == [None, None, None, 6.08, None, 6.1, None, None]
 
 
+def test_every_spelling_that_spark_reads_as_a_number_is_kept(spark):
+    spellings = ["+1", "-1,5", ".5", "5.", "1e3", " 7 ", "\t8\n", "6.1d", "6.1f", "0x1p3", "Infinity", "-inf", "INF", "+infinity"]
+    junk = ["e3", "d", "--1", "ND", "n/a", "1 2", "١", "+", "-", ".", "i", "in", "+NaN", "nan", "\u00a01"]
+    df = texts(spark, *spellings, *junk)
+    by_cast = F.nullif(F.regexp_replace("v", ",", ".").try_cast("double"), F.lit(float("nan")))
+    got = df.select("v", decimal_comma("v").alias("ours"), by_cast.alias("cast")).collect()
+    assert [r for r in got if r.ours != r.cast] == []
+    assert all(r.ours is not None for r in got[: len(spellings)])
+
+
 def test_nan_in_json_does_not_reach_the_mean(spark):
     lines = ['{"SITE_ID":"a","PH_LAB":NaN}', '{"SITE_ID":"a","PH_LAB":"NaN"}', '{"SITE_ID":"a","PH_LAB":"6,5"}']
     rows = parse_messages(texts(spark, *lines).toDF("value"), SAMPLES)

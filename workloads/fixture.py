@@ -31,7 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def comma_text(column: str):
-    return F.translate(F.col(column).cast("decimal(18,2)").cast("string"), ".", ",")
+    text = F.col(column).cast("decimal(18,2)").cast("string")
+    return F.replace(text, F.lit("."), F.lit(","))
 
 
 def samples(spark, sf_dir) -> DataFrame:
