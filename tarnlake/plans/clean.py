@@ -10,7 +10,7 @@ def clean_file(spark: SparkSession, source: str, target: str, source_sep: str =
     """Rewrite ``source`` with commas and return its column profile.
 
     The types in the profile are inferred; the texts that stand for a missing value count
-    as NULL.
+    as NULL and are left empty in the new file.
     """
-    redelimit(spark, source, target, source_sep)
+    redelimit(spark, source, target, source_sep, missing_value_texts=True)
     return null_profile(read_delimited(spark, source, sep=source_sep, infer=True, missing_value_texts=True))

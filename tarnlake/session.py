@@ -86,8 +86,9 @@ def work_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         root = tempfile.gettempdir()
-    folder = f"{root.rstrip('/')}/tarnlake-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    session_folder = f"{root.rstrip('/')}/tarnlake-{spark.sparkContext.applicationId}"
+    folder = f"{session_folder}/{label}-{uuid.uuid4().hex[:12]}"
     fs, hadoop_path = _file_system(spark, folder)
     fs.mkdirs(hadoop_path)
-    fs.deleteOnExit(hadoop_path)
+    fs.deleteOnExit(hadoop_path.getParent())
     return folder

@@ -1,6 +1,6 @@
 """Where tables come from and go to."""
 
-from tarnlake.sources.delimited import read_delimited, redelimit, write_delimited
+from tarnlake.sources.delimited import delimited_stream, read_delimited, redelimit, write_delimited
 from tarnlake.sources.jdbc import read_jdbc, write_jdbc
 from tarnlake.sources.messages import (
     kafka_options,
@@ -24,6 +24,7 @@ __all__ = [
     "append_table",
     "create_schema_if_absent",
     "create_table_if_absent",
+    "delimited_stream",
     "kafka_options",
     "kafka_stream",
     "message_stream",

@@ -10,6 +10,21 @@ from tarnlake.functions.text import null_tokens_to_null
 _FORMATS = {"timestampFormat": MICROSECONDS, "timestampNTZFormat": MICROSECONDS}
 
 
+def _options(reader, sep: str):
+    return reader.option("sep", sep).option("header", True).options(**_FORMATS)
+
+
+def _without_missing_value_texts(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[
+            null_tokens_to_null(F.col(f"`{f.name}`")).alias(f.name)
+            if isinstance(f.dataType, StringType)
+            else F.col(f"`{f.name}`")
+            for f in df.schema
+        ]
+    )
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -24,30 +39,48 @@ def read_delimited(
     column is text. ``missing_value_texts`` turns ``NA``, ``NaN``, ``null`` and the like
     in text columns into NULL.
     """
-    reader = spark.read.option("sep", sep).option("header", True).options(**_FORMATS)
+    reader = _options(spark.read, sep)
     if schema:
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
     df = reader.csv(path)
-    if not missing_value_texts:
-        return df
-    return df.select(
-        *[
-            null_tokens_to_null(F.col(f"`{f.name}`")).alias(f.name)
-            if isinstance(f.dataType, StringType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema
-        ]
-    )
+    return _without_missing_value_texts(df) if missing_value_texts else df
+
+
+def delimited_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    sep: str = ",",
+    files_per_batch: int | None = None,
+    missing_value_texts: bool = True,
+) -> DataFrame:
+    """The files of a folder, those there and those to come, as a stream of rows."""
+    reader = _options(spark.readStream, sep).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    df = reader.csv(folder)
+    return _without_missing_value_texts(df) if missing_value_texts else df
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("sep", sep).option("header", True).options(**_FORMATS).csv(path)
 
 
-def redelimit(spark: SparkSession, source: str, target: str, source_sep: str = ";", target_sep: str = ",") -> None:
-    """Rewrite delimited files with another delimiter; values pass through as text."""
+def redelimit(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    source_sep: str = ";",
+    target_sep: str = ",",
+    missing_value_texts: bool = False,
+) -> None:
+    """Rewrite delimited files with another delimiter; values pass through as text.
+
+    With ``missing_value_texts``, ``NA`` and the like are written as empty fields.
+    """
     header = spark.read.option("sep", source_sep).option("header", True).csv(source).columns
     as_text = StructType([StructField(c, StringType()) for c in header])
-    write_delimited(read_delimited(spark, source, as_text, source_sep), target, target_sep)
+    rows = read_delimited(spark, source, as_text, source_sep, missing_value_texts=missing_value_texts)
+    write_delimited(rows, target, target_sep)

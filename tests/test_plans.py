@@ -1,0 +1,90 @@
+"""What Spark makes of the queries: scans, shuffles and joins."""
+
+import re
+
+import pytest
+
+from workloads.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def plan_of(spark):
+    """The plan of a query with all joins shuffled, as they are for tables too large to broadcast."""
+
+    def plan(name):
+        return physical(QUERIES[name](spark, SF_DIR))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def read_columns(plan, table):
+    found = re.findall(rf"FileScan parquet \[([^\]]*)\][^\n]*{table}\.parquet", plan)
+    return [{c.split("#")[0] for c in f.split(",")} for f in found]
+
+
+READ_ONLY = [n for n in QUERIES if not n.startswith(("stream", "sink", "csv", "snapshot", "ddl", "report_saved", "scan_delimited", "load"))]
+
+
+@pytest.mark.parametrize("name", READ_ONLY)
+def test_no_query_pairs_all_rows(plan_of, name):
+    plan = plan_of(name)
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize(
+    "name, table, columns",
+    [
+        ("scan_table", "lineitem", {"l_orderkey", "l_partkey", "l_quantity", "l_shipdate"}),
+        ("distinct_ids", "events", {"user_id"}),
+        ("batch_ledger", "orders", {"o_orderdate"}),
+        ("json_parse_expand", "events", {"event_id", "props"}),
+        ("row_number_desc", "orders", {"o_custkey", "o_orderdate", "o_orderkey"}),
+    ],
+)
+def test_scans_read_the_columns_in_use(plan_of, name, table, columns):
+    assert read_columns(plan_of(name), table) == [columns]
+
+
+def test_the_last_batch_is_cut_out_by_the_scan(plan_of):
+    plan = plan_of("latest_batch_slice")
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate,ScalarSubquery", plan)
+
+
+def test_metrics_of_newest_samples_read_no_dimension_and_shuffle_once_per_side(plan_of):
+    plan = plan_of("latest_sample_metrics")
+    assert "supplier.parquet" not in plan and "LeftOuter" not in plan
+    # orders and customer by site; collapse and metrics reuse that partitioning
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_enrichment_moves_the_samples_once(plan_of):
+    plan = plan_of("enrich_left_join")
+    sides = re.findall(r"Exchange hashpartitioning\((\w+)", plan)
+    assert sorted(sides).count("SITE_ID_LTM") == 1
+    assert plan.count("SortMergeJoin") == 3
+
+
+def test_reconciliation_is_one_shuffle(plan_of):
+    plan = plan_of("reconcile_ids")
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_multiset_difference_shuffles_counts(plan_of):
+    plan = plan_of("except_all")
+    first = plan.index("Exchange hashpartitioning")
+    assert "partial_sum" in plan[first:], "rows are counted before the shuffle"
+
+
+def test_preview_sorts_no_more_than_it_shows(plan_of):
+    assert "TakeOrderedAndProject(limit=20" in plan_of("preview_limit")

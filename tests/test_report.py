@@ -135,4 +135,4 @@ def test_clean_file(spark, tmp_path):
     target = str(tmp_path / "clean")
     got = [tuple(r) for r in clean_file(spark, str(tmp_path / "raw.csv"), target).collect()]
     assert got == [(0, "a", "int", 1), (1, "b", "string", 1), (2, "c", "string", 0)]
-    assert sorted(map(tuple, spark.read.csv(target, header=True).collect()), key=str) == [("1", "x", "2,5"), (None, "NA", "3")]
+    assert sorted(map(tuple, spark.read.csv(target, header=True).collect()), key=str) == [("1", "x", "2,5"), (None, None, "3")]
