@@ -1,5 +1,7 @@
 """Dates and timestamps out of text and loosely typed columns."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, NumericType, StringType
@@ -7,9 +9,23 @@ from pyspark.sql.types import FractionalType, NumericType, StringType
 from tarnlake.schemas import TIMESTAMP_FORMAT
 
 
+def _outline(fmt: str) -> str | None:
+    """A regular expression for the shape of an all-digit format, None for any other."""
+    shape = re.sub("[yMdHms]+", "0", fmt)
+    if re.search(r"[A-Za-z'\[\]{}#]", shape) or "MMM" in fmt:
+        return None
+    return "^" + re.escape(shape).replace("0", r"[+-]?\d+") + "$"
+
+
 def parse_timestamp(c, fmt: str = TIMESTAMP_FORMAT) -> Column:
-    """Text to timestamp by a pattern, NULL where it does not fit."""
-    return F.try_to_timestamp(F.col(c) if isinstance(c, str) else c, F.lit(fmt))
+    """Text to timestamp by a pattern, NULL where it does not fit.
+
+    Text of another shape is set aside first: the parser would throw and catch an
+    exception for each.
+    """
+    text = F.col(c) if isinstance(c, str) else c
+    parsed, outline = F.try_to_timestamp(text, F.lit(fmt)), _outline(fmt)
+    return F.when(text.rlike(outline), parsed) if outline else parsed
 
 
 def resolve_column(df: DataFrame, name: str) -> str:

@@ -4,24 +4,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from tarnlake.schemas import TIMESTAMP_FORMAT
-
 # to_json cuts timestamps to milliseconds unless told otherwise.
 MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def parse_record(c, schema: StructType, timestamp_format: str = TIMESTAMP_FORMAT, corrupt_column: str | None = None) -> Column:
+def parse_record(
+    c, schema: StructType, timestamp_format: str | None = None, corrupt_column: str | None = None
+) -> Column:
     """A struct of the declared fields; text that is no such record gives NULL fields.
 
-    A timestamp may follow the given format, Spark's own format or be epoch seconds.
+    A timestamp may be in Spark's own format (``2020-01-02 03:04:05``, a ``T`` for the
+    space, a date alone) or epoch seconds; Spark reads these fast. Name any other format.
     With ``corrupt_column`` the struct also carries the text that could not be parsed.
     """
-    options = {
-        "mode": "PERMISSIVE",
-        "timestampFormat": timestamp_format,
-        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-        "enableDateTimeParsingFallback": "true",
-    }
+    options = {"mode": "PERMISSIVE"}
+    if timestamp_format:
+        options.update(timestampFormat=timestamp_format, enableDateTimeParsingFallback="true")
     if corrupt_column:
         schema = StructType(list(schema.fields)).add(corrupt_column, StringType())
         options["columnNameOfCorruptRecord"] = corrupt_column

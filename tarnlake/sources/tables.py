@@ -41,8 +41,15 @@ def overwrite_batch(df: DataFrame, folder: str, batch_id, column: str = "batch_i
     return partition
 
 
-def write_batches(df: DataFrame, folder: str, *columns: str) -> None:
-    """Store many batches in one job, replacing just the partitions that occur in ``df``."""
+def write_batches(df: DataFrame, folder: str, *columns: str, rebalance: bool = False) -> None:
+    """Store many batches in one job, replacing just the partitions that occur in ``df``.
+
+    Each task writes a file for every batch it has rows of. Where the rows of a batch are
+    spread over all tasks, ``rebalance`` brings them together first, and a large batch
+    still goes to as many tasks as its size asks for.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *columns)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

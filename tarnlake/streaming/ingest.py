@@ -16,7 +16,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 
 from tarnlake.functions.records import parse_record
 from tarnlake.operators.batches import SNAPSHOT_FOLDER, UNKNOWN_YEAR
-from tarnlake.schemas import TIMESTAMP_FORMAT, ledger_schema
+from tarnlake.schemas import ledger_schema
 from tarnlake.sources.tables import overwrite_batch
 
 CORRUPT = "_corrupt_record"
@@ -25,7 +25,7 @@ CORRUPT = "_corrupt_record"
 def parse_messages(
     messages: DataFrame,
     schema: StructType,
-    timestamp_format: str = TIMESTAMP_FORMAT,
+    timestamp_format: str | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """Message values as typed rows; the same for a stream and for a table of messages.
@@ -125,7 +125,7 @@ def ingest(
     store: BatchStore,
     checkpoint: str,
     date_column: str = "DATE_SMP",
-    timestamp_format: str = TIMESTAMP_FORMAT,
+    timestamp_format: str | None = None,
     interval: str | None = None,
     on_batch=store_batch,
 ) -> StreamingQuery:

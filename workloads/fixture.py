@@ -102,13 +102,14 @@ def stored_snapshots(spark, sf_dir) -> tuple[DataFrame, str]:
         F.regexp_extract("version_id", r"(\d+)", 1).cast("int").alias("batch_id"),
         F.year("min_datestamp").alias("year"),
     )
-    write_batches(numbered_orders(spark, sf_dir).join(years, "batch_id"), root, "year", "batch_id")
+    orders = numbered_orders(spark, sf_dir).join(years, "batch_id")
+    write_batches(orders, root, "year", "batch_id", rebalance=True)
     return kept, root
 
 
 def file_sizes(rows: int, batches: int = 4) -> tuple[int, int]:
     """Rows per file and files per micro-batch that give about ``batches`` micro-batches."""
-    rows_per_file = max(1, min(MAX_ROWS_PER_FILE, math.ceil(rows / (2 * batches))))
+    rows_per_file = max(1, min(MAX_ROWS_PER_FILE, math.ceil(rows / (8 * batches))))
     return rows_per_file, math.ceil(math.ceil(rows / rows_per_file) / batches)
 
 
