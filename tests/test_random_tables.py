@@ -1,0 +1,104 @@
+"""Operators against a plain Python reading of their rules, on many small random tables.
+
+All tables of a test are one DataFrame with the table's number as a further key.
+"""
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from tarnlake.operators import annual_metrics, enrich, except_all, latest_per_key, reconcile_ids
+
+CASES = 60
+
+
+def day(rng):
+    return rng.choice([None, dt.date(2020, 1, rng.randint(1, 3))])
+
+
+@pytest.fixture(scope="module")
+def histories(spark):
+    rng = random.Random(7)
+    rows = [
+        (case, rng.choice([None, "a", "b", "c"]), day(rng), rng.choice([None, 1, 2]), rng.choice([None, "x", "y"]))
+        for case in range(CASES)
+        for _ in range(rng.randint(0, 9))
+    ]
+    return rows, spark.createDataFrame(rows, "case int, k string, d date, tie int, v string")
+
+
+def null_first(*values):
+    return tuple((v is not None, v) for v in values)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_newest_row(histories, partitions):
+    rows, df = histories
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[0], r[1]].append(r)
+    expected = {max(g, key=lambda r: null_first(*r[2:])) for g in groups.values()}
+    got = latest_per_key(df.repartition(partitions), ["case", "k"], "d", ["tie"]).collect()
+    assert len(got) == len(groups) and set(map(tuple, got)) == expected
+
+
+def test_multiset_difference_and_reconciliation(spark):
+    rng = random.Random(8)
+    left, right = (
+        [(case, rng.choice([None, 1, 2, 3])) for case in range(CASES) for _ in range(rng.randint(0, 8))] for _ in (1, 2)
+    )
+    a, b = (spark.createDataFrame(rows, "case int, v int") for rows in (left, right))
+    for rows_per_task in (2, 1000):
+        assert Counter(map(tuple, except_all(a, b, rows_per_task).collect())) == Counter(left) - Counter(right)
+
+    keyed = [df.selectExpr("concat(case, ':', coalesce(v, -1)) AS id") for df in (a, b)]
+    names = [{f"{c}:{-1 if v is None else v}" for c, v in rows} for rows in (left, right)]
+    expected = {("right", i) for i in names[0] - names[1]} | {("left", i) for i in names[1] - names[0]}
+    assert set(map(tuple, reconcile_ids(*keyed, "id").collect())) == expected
+
+
+def test_enrichment_follows_the_site(spark):
+    rng = random.Random(9)
+    ids, programs = [None, "1", "2", "3"], [None, "p", "q"]
+    samples = [(rng.choice(ids), rng.choice(programs), n) for n in range(200)]
+    sites = list({(rng.choice(ids), rng.choice(programs)) for _ in range(6)})
+    methods = [(rng.choice(programs), m) for m in "uvw"]
+
+    def partners(sample):
+        found = [s for s in sites if None not in s and s == sample[:2]]
+        for site in found or [(None, None)]:
+            matching = [m for m in methods if m[0] is not None and m[0] == site[1]]
+            for m in matching or [(None, None)]:
+                yield (*sample, m[0], m[1], *site)
+
+    got = enrich(
+        spark.createDataFrame(samples, "SITE_ID string, PROGRAM_ID string, n int"),
+        spark.createDataFrame(sites, "SITE_ID string, PROGRAM_ID string"),
+        spark.createDataFrame(methods, "PROGRAM_ID string, METHOD string"),
+    )
+    assert Counter(map(tuple, got.collect())) == Counter(p for s in samples for p in partners(s))
+
+
+def test_yearly_means(spark):
+    rng = random.Random(10)
+    texts = ["1,5", "2.25", "x", "", None, "NaN", "4"]
+    values = {"1,5": 1.5, "2.25": 2.25, "4": 4.0}
+    rows = [
+        (rng.choice("ab"), rng.choice([None, "p"]), dt.datetime(rng.choice([2019, 2020]), 6, 1), *rng.choices(texts, k=3))
+        for _ in range(80)
+    ]
+    groups = defaultdict(list)
+    for site, program, date, *measures in rows:
+        groups[site, program, date.year].append(measures)
+    expected = {}
+    for key, members in groups.items():
+        numbers = [[values[t] for t in column if t in values] for column in zip(*members)]
+        means = [sum(n) / len(n) if n else None for n in numbers]
+        expected[key] = (*(m and pytest.approx(m) for m in means), len(members))
+    df = spark.createDataFrame(
+        rows, "SITE_ID string, PROGRAM_ID string, DATE_SMP timestamp, PH_LAB string, SO4_UEQ_L string, NO3_UEQ_L string"
+    )
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in annual_metrics(df, "SITE_ID", "PROGRAM_ID").collect()}
+    assert got == expected

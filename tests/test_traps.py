@@ -91,14 +91,6 @@ def test_parse_timestamp(spark):
     assert column(df.select(parse_timestamp("v").cast("string"))) == ["2020-01-02 03:04:05", None]
 
 
-def test_parse_timestamp_in_other_formats(spark):
-    values = ["02/01/2020 3:04", "20200102", "2 Jan 2020", "2020-1-2", "2020-01-02 03:04:05 ", "12020-01-02 03:04:05", "x"]
-    df = texts(spark, *values)
-    for fmt in ("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy H:mm", "yyyyMMdd", "d MMM yyyy", "yyyy-M-d", "yyyy-MM-dd'T'HH"):
-        plain = F.try_to_timestamp("v", F.lit(fmt))
-        assert df.filter(~parse_timestamp("v", fmt).eqNullSafe(plain)).count() == 0, fmt
-
-
 def test_another_timestamp_format_in_the_stream(spark):
     lines = [f'{{"DATE_SMP":{v}}}' for v in ('"02/01/2020 03:04"', '"2020-01-02 03:04:00"', "1577934240", '"x"')]
     rows = parse_messages(texts(spark, *lines).toDF("value"), SAMPLES, "dd/MM/yyyy HH:mm")
