@@ -7,12 +7,25 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tarnlake.operators import assert_not_empty, latest_batch
 from tarnlake.plans import build_report, clean_file, load_dimension, save_report
-from tarnlake.schemas import METHOD_COLUMNS, METHODS, SAMPLE_COLUMNS, SAMPLES, SITES
+from tarnlake.schemas import LEDGER, METHOD_COLUMNS, METHODS, SAMPLE_COLUMNS, SAMPLES, SITES
 from tarnlake.session import configure
-from tarnlake.sources import delimited_stream, kafka_stream, message_stream, read_table
+from tarnlake.sources import (
+    create_schema_if_absent,
+    create_table_if_absent,
+    delimited_stream,
+    kafka_stream,
+    message_stream,
+    read_table,
+)
 from tarnlake.streaming import BatchStore, ProgressLog, drain, ingest, replay
 
 
+def create_tables(spark, args):
+    create_schema_if_absent(spark, args.schema, args.location)
+    for name, schema in (("samples", SAMPLES), ("sites", SITES), ("methods", METHODS), ("ledger", LEDGER)):
+        create_table_if_absent(spark, f"{args.schema}.{name}", schema)
+
+
 def replay_rows(spark, args):
     as_text = StructType([StructField(c, StringType()) for c in SAMPLE_COLUMNS])
     rows = delimited_stream(spark, args.source, as_text, args.sep, args.files_per_batch)
@@ -72,6 +85,7 @@ def parser():
         return sub
 
     stream = {"servers": None, "interval": None, "timeout": None}
+    job("create-tables", create_tables, "schema", location=None)
     job("clean", clean, "source", "target", sep=";")
     job("replay", replay_rows, "source", "target", "checkpoint", sep=",", files_per_batch=None, **stream)
     job("ingest", ingest_messages, "source", "store", "checkpoint", progress=None, messages_per_batch=None, **stream)

@@ -23,12 +23,15 @@ def except_all(left: DataFrame, right: DataFrame, rows_per_task: int = 1_000_000
     )
     surplus = signed.groupBy(*columns).agg(F.sum(_COPIES).alias(_COPIES)).filter(F.col(_COPIES) > 0)
 
+    # A fixed number of partitions: adaptive execution would merge the chunks, which are
+    # small only until they are written out.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = surplus.filter(F.col(_COPIES) <= rows_per_task)
     starts = F.sequence(F.lit(0).cast("long"), F.col(_COPIES) - 1, F.lit(rows_per_task).cast("long"))
     many = (
         surplus.filter(F.col(_COPIES) > rows_per_task)
         .select(*columns, _COPIES, F.explode(starts).alias(_CHUNK))
-        .repartition(*columns, _CHUNK)
+        .repartition(tasks, *columns, _CHUNK)
         .withColumn(_COPIES, F.least(F.lit(rows_per_task), F.col(_COPIES) - F.col(_CHUNK)))
     )
     counted = few.unionAll(many.drop(_CHUNK))

@@ -35,3 +35,12 @@ def test_from_file_to_metrics(spark, tmp_path, capsys, all_samples, expected):
     assert (row.SITE_ID, row.YEAR, row.AVG_PH, row.AVG_SO4, row.TOTAL_SAMPLES) == ("A", 2020, expected[0], None, expected[1])
     shown = capsys.readouterr().out
     assert "SITE_ID" in shown and "missing_in" in shown
+
+
+def test_create_tables_twice(spark):
+    folder = work_folder(spark, "schema")
+    for _ in range(2):
+        main(["create-tables", "--schema", "tarn_cli", "--location", folder], spark)
+    assert spark.table("tarn_cli.samples").dtypes[2] == ("DATE_SMP", "timestamp")
+    assert spark.table("tarn_cli.ledger").count() == 0
+    spark.sql("DROP SCHEMA tarn_cli CASCADE")

@@ -86,5 +86,16 @@ def test_multiset_difference_shuffles_counts(plan_of):
     assert "partial_sum" in plan[first:], "rows are counted before the shuffle"
 
 
+def test_multiset_difference_reads_its_inputs_once(spark):
+    df = QUERIES["except_all"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange" in physical(df) or physical(df).count("ShuffleQueryStage") < 2
+
+
+def test_null_profile_is_one_pass(plan_of):
+    plan = plan_of("null_profile")
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
 def test_preview_sorts_no_more_than_it_shows(plan_of):
     assert "TakeOrderedAndProject(limit=20" in plan_of("preview_limit")

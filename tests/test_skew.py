@@ -66,6 +66,12 @@ def test_except_all_in_chunks(spark, hot, rows_per_task):
     assert Counter(r.k for r in except_all(left, right, rows_per_task).collect()) == expected
 
 
+def test_copies_of_one_row_are_written_by_many_tasks(spark, hot):
+    got = except_all(hot.select("k"), hot.select("k").limit(0), rows_per_task=20)
+    writers = got.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(writers) > 4 and max(w["count"] for w in writers) < 500
+
+
 def test_collapse_sends_one_row_per_key_and_task(spark, hot):
     """A hot key is reduced before the shuffle: the plan aggregates on both sides of it."""
     plan = latest_per_key(hot, ["k"], "d", ["tie"])._jdf.queryExecution().executedPlan().toString()

@@ -174,14 +174,17 @@ ORACLES = {
     "distinct_ids": "SELECT DISTINCT user_id FROM events",
     "annual_metrics": f"WITH {_samples()} {_metrics('samples')}",
     "null_profile": """
-        WITH labelled AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))
-        SELECT 0 AS position, 'doc_id' AS column_name, 'bigint' AS data_type, count(*) FILTER (doc_id IS NULL) AS null_count FROM labelled
-        UNION ALL SELECT 1, 'text', 'string', count(*) FILTER (text IS NULL) FROM labelled
-        UNION ALL SELECT 2, 'lang', 'string', count(*) FILTER (lang IS NULL) FROM labelled
-        UNION ALL SELECT 3, 'source', 'string', count(*) FILTER (source IS NULL) FROM labelled
-        UNION ALL SELECT 4, 'n_chars', 'bigint', count(*) FILTER (n_chars IS NULL) FROM labelled
-        UNION ALL SELECT 5, 'quality', 'int', count(*) FILTER (quality IS NULL) FROM labelled
-        UNION ALL SELECT 6, 'toxic', 'int', count(*) FILTER (toxic IS NULL) FROM labelled""",
+        SELECT 0 AS position, 'l_orderkey' AS column_name, 'bigint' AS data_type, count(*) FILTER (l_orderkey IS NULL) AS null_count FROM lineitem
+        UNION ALL SELECT 1, 'l_partkey', 'bigint', count(*) FILTER (l_partkey IS NULL) FROM lineitem
+        UNION ALL SELECT 2, 'l_suppkey', 'bigint', count(*) FILTER (l_suppkey IS NULL) FROM lineitem
+        UNION ALL SELECT 3, 'l_linenumber', 'int', count(*) FILTER (l_linenumber IS NULL) FROM lineitem
+        UNION ALL SELECT 4, 'l_quantity', 'double', count(*) FILTER (l_quantity IS NULL) FROM lineitem
+        UNION ALL SELECT 5, 'l_extendedprice', 'double', count(*) FILTER (l_extendedprice IS NULL) FROM lineitem
+        UNION ALL SELECT 6, 'l_discount', 'double', count(*) FILTER (l_discount IS NULL OR l_discount = 0) FROM lineitem
+        UNION ALL SELECT 7, 'l_tax', 'double', count(*) FILTER (l_tax IS NULL OR l_tax = 0) FROM lineitem
+        UNION ALL SELECT 8, 'l_returnflag', 'string', count(*) FILTER (l_returnflag IS NULL OR l_returnflag = 'N') FROM lineitem
+        UNION ALL SELECT 9, 'l_linestatus', 'string', count(*) FILTER (l_linestatus IS NULL) FROM lineitem
+        UNION ALL SELECT 10, 'l_shipdate', 'timestamp_ntz', count(*) FILTER (l_shipdate IS NULL) FROM lineitem""",
     "preview_limit": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
     "except_all": "SELECT o_custkey FROM orders EXCEPT ALL SELECT user_id FROM events",
     "reconcile_ids": f"""

@@ -281,8 +281,9 @@ def annual_metrics_query(spark, d):
 
 
 def null_profile_query(spark, d):
-    documents, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    return null_profile(documents.join(labels, "doc_id", "left"))
+    lines = table(spark, d, "lineitem")
+    gaps = {c: F.nullif(F.col(c), F.lit(v)) for c, v in (("l_discount", 0.0), ("l_tax", 0.0), ("l_returnflag", "N"))}
+    return null_profile(lines.withColumns(gaps))
 
 
 def preview_limit(spark, d):
