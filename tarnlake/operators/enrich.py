@@ -7,13 +7,23 @@ SITE_KEYS = ("SITE_ID", "PROGRAM_ID")
 PROGRAM_KEY = "PROGRAM_ID"
 
 
-def enrich(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_keys=SITE_KEYS, program_key=PROGRAM_KEY) -> DataFrame:
+def enrich(
+    samples: DataFrame,
+    sites: DataFrame,
+    methods: DataFrame,
+    site_keys=SITE_KEYS,
+    program_key=PROGRAM_KEY,
+    spread: int = 1,
+) -> DataFrame:
     """``samples LEFT JOIN sites LEFT JOIN methods``, methods through the *site's* program.
 
     A sample without a site therefore has no method either. Methods are joined to the
     sites first, which gives the same rows and moves the large table once, not twice; no
     row with a NULL program then takes part in the second join. Join strategies are left
     to Spark, which broadcasts a side only below its size limit and splits hot keys.
+
+    Spark splits a hot key along the files it comes from. Where a few files hold all of it,
+    ``spread`` says over how many tasks the samples of a site go; sites are copied as often.
     """
     described = _renamed(sites, site_keys, "_SITE").join(
         _renamed(methods, [program_key], "_METHODE"),
@@ -21,11 +31,19 @@ def enrich(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_keys=S
         "left",
     )
     left = _renamed(samples, site_keys, "_LTM")
+    sample_columns = left.columns
     same_site = [F.col(f"{k}_LTM") == F.col(f"{k}_SITE") for k in site_keys]
+    if spread > 1:
+        # By the row's own values, so that a task that runs again deals rows out alike.
+        part = F.pmod(F.xxhash64(*[f"`{c}`" for c in sample_columns]), F.lit(spread)).cast("int")
+        left = left.withColumn("__part_l", part)
+        copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+        described = described.withColumn("__part_r", copies)
+        same_site.append(F.col("__part_l") == F.col("__part_r"))
     joined = left.join(described, same_site, "left")
     method_columns = [_suffixed(c, [program_key], "_METHODE") for c in methods.columns]
     site_columns = [_suffixed(c, site_keys, "_SITE") for c in sites.columns]
-    return joined.select(*left.columns, *method_columns, *site_columns)
+    return joined.select(*sample_columns, *method_columns, *site_columns)
 
 
 def enrich_sql(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_keys=SITE_KEYS, program_key=PROGRAM_KEY) -> DataFrame:

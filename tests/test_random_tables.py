@@ -59,7 +59,8 @@ def test_multiset_difference_and_reconciliation(spark):
     assert set(map(tuple, reconcile_ids(*keyed, "id").collect())) == expected
 
 
-def test_enrichment_follows_the_site(spark):
+@pytest.mark.parametrize("spread", [1, 5])
+def test_enrichment_follows_the_site(spark, spread):
     rng = random.Random(9)
     ids, programs = [None, "1", "2", "3"], [None, "p", "q"]
     samples = [(rng.choice(ids), rng.choice(programs), n) for n in range(200)]
@@ -77,6 +78,7 @@ def test_enrichment_follows_the_site(spark):
         spark.createDataFrame(samples, "SITE_ID string, PROGRAM_ID string, n int"),
         spark.createDataFrame(sites, "SITE_ID string, PROGRAM_ID string"),
         spark.createDataFrame(methods, "PROGRAM_ID string, METHOD string"),
+        spread=spread,
     )
     assert Counter(map(tuple, got.collect())) == Counter(p for s in samples for p in partners(s))
 

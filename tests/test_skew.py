@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.operators import except_all, latest_per_key, row_number_desc
+from tarnlake.operators import enrich, except_all, latest_per_key, row_number_desc
 
 
 @pytest.fixture(scope="module")
@@ -72,6 +72,23 @@ def test_copies_of_one_row_are_written_by_many_tasks(spark, hot):
     assert len(writers) > 4 and max(w["count"] for w in writers) < 500
 
 
+def test_samples_of_a_hot_site_are_spread(spark, hot):
+    samples = hot.select(F.col("k").alias("SITE_ID"), F.lit(1).alias("PROGRAM_ID"), "tie")
+    sites = samples.select("SITE_ID", "PROGRAM_ID").distinct()
+    methods = spark.createDataFrame([(1, "m")], "PROGRAM_ID int, METHOD string")
+    plain, spread = (enrich(samples, sites, methods, spread=n) for n in (1, 16))
+    assert spread.columns == plain.columns
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = enrich(samples, sites, methods, spread=16)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"Exchange hashpartitioning\(SITE_ID_LTM#\d+, PROGRAM_ID_LTM#\d+, __part_l#\d+", plan)
+
+
 def test_collapse_sends_one_row_per_key_and_task(spark, hot):
     """A hot key is reduced before the shuffle: the plan aggregates on both sides of it."""
     plan = latest_per_key(hot, ["k"], "d", ["tie"])._jdf.queryExecution().executedPlan().toString()
