@@ -73,7 +73,7 @@ def test_copies_of_one_row_are_written_by_many_tasks(spark, hot):
 
 
 def test_samples_of_a_hot_site_are_spread(spark, hot):
-    samples = hot.select(F.col("k").alias("SITE_ID"), F.lit(1).alias("PROGRAM_ID"), "tie")
+    samples = hot.select(F.col("k").alias("SITE_ID"), (F.col("k") % 2).alias("PROGRAM_ID"), "tie")
     sites = samples.select("SITE_ID", "PROGRAM_ID").distinct()
     methods = spark.createDataFrame([(1, "m")], "PROGRAM_ID int, METHOD string")
     plain, spread = (enrich(samples, sites, methods, spread=n) for n in (1, 16))
