@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, licenses, lines, mixing, packing, quality, sharding, simhash, urls
+from tarnlake.llm import chat, embeddings, licenses, lines, mixing, packing, quality, sharding, simhash, urls
 from tarnlake.llm.common import prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,10 @@ def op2_line_dedup(spark, d):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_embedding_dedup(spark, d):
+    return embeddings.embedding_dedup(table(spark, d, "embeddings"))
+
+
 def op4_url_filter(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url")
     return urls.url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -82,6 +86,7 @@ QUERIES = {
     for f in (
         op1_simhash_dedup,
         op2_line_dedup,
+        op3_embedding_dedup,
         op4_url_filter,
         op5_license_scan,
         op6_source_mix,
