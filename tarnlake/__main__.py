@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tarnlake.operators import assert_not_empty, latest_batch
 from tarnlake.plans import build_report, clean_file, load_dimension, save_report
 from tarnlake.schemas import LEDGER, METHOD_COLUMNS, METHODS, SAMPLE_COLUMNS, SAMPLES, SITES
-from tarnlake.session import configure
+from tarnlake.session import configure, size_shuffles
 from tarnlake.sources import (
     create_schema_if_absent,
     create_table_if_absent,
@@ -39,9 +39,14 @@ def ingest_messages(spark, args):
         messages = kafka_stream(spark, args.servers, args.source, max_per_batch=args.messages_per_batch)
     else:
         messages = message_stream(spark, args.source)
-    if args.progress:
-        spark.streams.addListener(ProgressLog(spark, args.progress))
-    drain(ingest(messages, SAMPLES, BatchStore(args.store), args.checkpoint, interval=args.interval), args.timeout)
+    log = ProgressLog(spark, args.progress) if args.progress else None
+    if log:
+        spark.streams.addListener(log)
+    try:
+        drain(ingest(messages, SAMPLES, BatchStore(args.store), args.checkpoint, interval=args.interval), args.timeout)
+    finally:
+        if log:
+            log.close()
 
 
 def load_dimensions(spark, args):
@@ -51,6 +56,7 @@ def load_dimensions(spark, args):
 
 def report(spark, args):
     store = BatchStore(args.store)
+    size_shuffles(spark, store.rows, *(t for t in (args.sites, args.methods) if "/" in t))
     ledger = store.ledger(spark)
     assert_not_empty(ledger, "ledger")
     result = build_report(
@@ -59,15 +65,19 @@ def report(spark, args):
         read_table(spark, args.methods).select(*METHOD_COLUMNS),
         ledger,
         collapse_samples=not args.all_samples,
+        spread=int(args.spread),
     )
     version = latest_batch(ledger).first()["version_id"]
-    metrics = save_report(result, args.joined, args.metrics, version)
+    folder = args.reconciliation or f"{args.joined.rstrip('/')}-reconciliation"
+    metrics = save_report(result, args.joined, args.metrics, version, folder)
     assert_not_empty(metrics, args.metrics)
-    result.reconciliation.show(truncate=False)
+    missing = read_table(spark, f"{folder}/version_id={version}", result.reconciliation.schema)
+    missing.groupBy("missing_in").count().show()
 
 
 def clean(spark, args):
-    clean_file(spark, args.source, args.target, args.sep).show(1000, truncate=False)
+    profile = clean_file(spark, args.source, args.target, args.sep)
+    profile.show(profile.count(), truncate=False)
 
 
 def parser():
@@ -90,7 +100,7 @@ def parser():
     job("replay", replay_rows, "source", "target", "checkpoint", sep=",", files_per_batch=None, **stream)
     job("ingest", ingest_messages, "source", "store", "checkpoint", progress=None, messages_per_batch=None, **stream)
     job("load-dimensions", load_dimensions, "methods-file", "sites-file", "methods", "sites")
-    job("report", report, "store", "sites", "methods", "joined", "metrics").add_argument(
+    job("report", report, "store", "sites", "methods", "joined", "metrics", reconciliation=None, spread="1").add_argument(
         "--all-samples", action="store_true", help="yearly means over all samples of a site"
     )
     return top

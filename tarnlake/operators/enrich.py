@@ -24,38 +24,34 @@ def enrich(
 
     Spark splits a hot key along the files it comes from. Where a few files hold all of it,
     ``spread`` says over how many tasks the samples of a site go; sites are copied as often.
+
+    A column that two tables share gets the suffix of the later one (``_METHODE``, ``_SITE``).
     """
-    described = _renamed(sites, site_keys, "_SITE").join(
-        _renamed(methods, [program_key], "_METHODE"),
+    sample_names, method_names, site_names = _names(samples, sites, methods, site_keys, program_key)
+    described = sites.withColumnsRenamed(site_names).join(
+        methods.withColumnsRenamed(method_names),
         F.col(f"{program_key}_SITE") == F.col(f"{program_key}_METHODE"),
         "left",
     )
-    left = _renamed(samples, site_keys, "_LTM")
-    sample_columns = left.columns
+    left = samples.withColumnsRenamed(sample_names)
     same_site = [F.col(f"{k}_LTM") == F.col(f"{k}_SITE") for k in site_keys]
     if spread > 1:
         # By the row's own values, so that a task that runs again deals rows out alike.
-        part = F.pmod(F.xxhash64(*[f"`{c}`" for c in sample_columns]), F.lit(spread)).cast("int")
+        part = F.pmod(F.xxhash64(*map(_quoted, sample_names.values())), F.lit(spread)).cast("int")
         left = left.withColumn("__part_l", part)
         copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
         described = described.withColumn("__part_r", copies)
         same_site.append(F.col("__part_l") == F.col("__part_r"))
     joined = left.join(described, same_site, "left")
-    method_columns = [_suffixed(c, [program_key], "_METHODE") for c in methods.columns]
-    site_columns = [_suffixed(c, site_keys, "_SITE") for c in sites.columns]
-    return joined.select(*sample_columns, *method_columns, *site_columns)
+    return joined.select(*map(_quoted, [*sample_names.values(), *method_names.values(), *site_names.values()]))
 
 
 def enrich_sql(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_keys=SITE_KEYS, program_key=PROGRAM_KEY) -> DataFrame:
     """``enrich`` as SQL text over the three frames, without global view names."""
     columns = ", ".join(
-        f"{alias}.`{c}` AS `{_suffixed(c, keys, suffix)}`"
-        for alias, frame, keys, suffix in (
-            ("s", samples, site_keys, "_LTM"),
-            ("m", methods, [program_key], "_METHODE"),
-            ("t", sites, site_keys, "_SITE"),
-        )
-        for c in frame.columns
+        f"{alias}.`{c}` AS `{name}`"
+        for alias, names in zip("smt", _names(samples, sites, methods, site_keys, program_key))
+        for c, name in names.items()
     )
     same_site = " AND ".join(f"s.`{k}` = t.`{k}`" for k in site_keys)
     return samples.sparkSession.sql(
@@ -71,9 +67,24 @@ def enrich_sql(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_ke
     )
 
 
-def _suffixed(column, keys, suffix):
-    return column + suffix if column in keys else column
+def _names(samples, sites, methods, site_keys, program_key):
+    """New names of the columns of samples, methods and sites.
+
+    Keys get their table's suffix, and so does a column of methods or sites whose name
+    (in any letter case) a table before it has.
+    """
+    taken, out = set(), []
+    for frame, keys, suffix in ((samples, site_keys, "_LTM"), (methods, [program_key], "_METHODE"), (sites, site_keys, "_SITE")):
+        names = {}
+        for c in frame.columns:
+            name = c + suffix if c in keys else c
+            while name.lower() in taken:
+                name += suffix
+            taken.add(name.lower())
+            names[c] = name
+        out.append(names)
+    return out
 
 
-def _renamed(df, keys, suffix):
-    return df.withColumnsRenamed({k: k + suffix for k in keys})
+def _quoted(name):
+    return F.col(f"`{name}`")

@@ -4,6 +4,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tarnlake.functions.dates import order_date, resolve_column
 from tarnlake.session import work_folder
@@ -11,13 +12,19 @@ from tarnlake.session import work_folder
 _ORDER, _SLICE, _BEFORE = "__order_date", "__slice", "__rows_before"
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_by: str, tie_break: list[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: list[str], order_by: str, tie_break: list[str], ties_are_unique: bool = False
+) -> DataFrame:
     """The newest row of each key: greatest date, then greatest ``tie_break`` values.
 
     Rows that agree on all of these are told apart by their other columns, so the result
     never depends on how the input is split. A key whose dates are all NULL keeps one row;
     NULL keys form one group.
 
+    With ``ties_are_unique`` the caller declares that no two rows of a key agree in date and
+    tie-break. The other columns then take no part in the order, and those that nobody reads
+    are not scanned.
+
     Written as one ``max`` over a struct and not as ``row_number() = 1``: each task sends
     on one row per key at most, however hot the key, and Catalyst learns that the keys are
     unique, which lets it drop left joins whose columns nobody reads.
@@ -26,11 +33,21 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str, tie_break: lis
     ties = [resolve_column(df, t) for t in tie_break]
     ties = [t for t in dict.fromkeys(ties) if t not in keys]
     others = [c for c in df.columns if c not in keys and c not in ties]
-    newest = F.max(F.struct(order_date(df, order_by).alias(_ORDER), *_cols(ties + others)))
-    grouped = df.groupBy(*_cols(keys)).agg(newest.alias("__newest"))
-    return grouped.select(
-        *[F.col(f"`{c}`") if c in keys else F.col(f"__newest.`{c}`").alias(c) for c in df.columns]
-    )
+    date = order_date(df, order_by).alias(_ORDER)
+    # Maps have no order; their sorted entries have.
+    maps = {f.name for f in df.schema if isinstance(f.dataType, MapType)}
+    ordered = [F.array_sort(F.map_entries(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`") for c in ties + others]
+    if ties_are_unique:
+        order = F.struct(date, *ordered[: len(ties)])
+        newest = [F.max_by(F.col(f"`{c}`"), order).alias(c) for c in ties + others]
+        return df.groupBy(*_cols(keys)).agg(*newest).select(*_cols(df.columns))
+    grouped = df.groupBy(*_cols(keys)).agg(F.max(F.struct(date, *ordered)).alias("__newest"))
+
+    def value(c):
+        entries = F.col(f"__newest.`{c}`")
+        return (F.map_from_entries(entries) if c in maps else entries).alias(c)
+
+    return grouped.select(*[F.col(f"`{c}`") if c in keys else value(c) for c in df.columns])
 
 
 def row_number_desc(
@@ -39,24 +56,23 @@ def row_number_desc(
     order_by: str,
     tie_break: list[str],
     name: str = "row_num",
-    rows_per_task: int = 5_000_000,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key from the newest on, ties by descending ``tie_break``.
 
-    A window puts all rows of a key into one task. Where the largest key has more than
-    ``rows_per_task`` rows, the table is cut into sorted slices instead, each slice is
-    numbered by itself, and a key that goes over several slices adds the rows that come
-    before. The numbers are the same either way.
+    A window puts all rows of a key into one task. Where a key is too hot for that, give
+    ``rows_per_task``: the table is then cut into sorted slices of about that many rows, each
+    slice is numbered by itself, and a key that goes over several slices adds the rows that
+    come before. The numbers, of type ``bigint``, are the same either way.
     """
-    newest_first = [F.col(f"`{c}`").desc_nulls_last() for c in [order_by, *tie_break]]
-    sizes = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    if not largest or largest <= rows_per_task:
+    keys, order_by = [resolve_column(df, k) for k in keys], resolve_column(df, order_by)
+    newest_first = [F.col(f"`{c}`").desc_nulls_last() for c in [order_by, *(resolve_column(df, t) for t in tie_break)]]
+    if rows_per_task is None:
         window = Window.partitionBy(*_cols(keys)).orderBy(*newest_first)
-        return df.withColumn(name, F.row_number().over(window))
+        return df.withColumn(name, F.row_number().over(window).cast("long"))
 
     slices = max(
-        math.ceil(total / rows_per_task) * 2,
+        math.ceil(df.count() / rows_per_task) * 2,
         int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
     folder = work_folder(df.sparkSession, "sorted-slices")
@@ -69,7 +85,7 @@ def row_number_desc(
     sliced = df.sparkSession.read.parquet(folder)
 
     # A slice continues at most one key of earlier slices, so at most ``slices`` rows
-    # are left here: small enough to broadcast at any size of the table.
+    # are left here; Spark broadcasts them where they are below its limit.
     earlier = Window.partitionBy(*_cols(keys)).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     continued = (
         sliced.groupBy(*_cols(keys), _SLICE)
@@ -82,7 +98,7 @@ def row_number_desc(
     same_slice = F.col(f"r.{_SLICE}") == F.col(f"c.{_SLICE}")
     for k in keys:
         same_slice &= F.col(f"r.`{k}`").eqNullSafe(F.col(f"c.`{k}`"))
-    return numbered.join(F.broadcast(continued.alias("c")), same_slice, "left").select(
+    return numbered.join(continued.alias("c"), same_slice, "left").select(
         *[F.col(f"r.`{c}`") for c in df.columns],
         (F.col(name) + F.coalesce(_BEFORE, F.lit(0))).alias(name),
     )

@@ -37,6 +37,8 @@ def build_report(
     site_tie_break: tuple[str, ...] = (),
     method_tie_break: tuple[str, ...] = (),
     measures: dict[str, str] = METRIC_COLUMNS,
+    ties_are_unique: bool = False,
+    spread: int = 1,
 ) -> Report:
     """All three results as lazy DataFrames.
 
@@ -44,14 +46,17 @@ def build_report(
     site counts with its newest sample only; ``collapse_samples=False`` keeps all samples,
     and the metrics are then true yearly means. Sites and methods always count with their
     newest row, so a sample never multiplies.
+
+    ``ties_are_unique`` declares that the tie-break columns tell rows of a key apart; what
+    the metrics do not use is then not read. ``spread`` is that of ``enrich``.
     """
     if ledger is not None:
         samples = latest_slice(samples, sample_date, ledger)
     if collapse_samples:
-        samples = latest_per_key(samples, list(sample_keys), sample_date, list(sample_tie_break))
-    sites = latest_per_key(sites, list(site_keys), site_date, list(site_tie_break))
-    methods = latest_per_key(methods, [program_key], method_date, list(method_tie_break))
-    joined = enrich(samples, sites, methods, site_keys, program_key)
+        samples = latest_per_key(samples, list(sample_keys), sample_date, list(sample_tie_break), ties_are_unique)
+    sites = latest_per_key(sites, list(site_keys), site_date, list(site_tie_break), ties_are_unique)
+    methods = latest_per_key(methods, [program_key], method_date, list(method_tie_break), ties_are_unique)
+    joined = enrich(samples, sites, methods, site_keys, program_key, spread)
     return Report(
         joined=joined,
         reconciliation=reconcile_ids(
@@ -68,15 +73,19 @@ def save_report(
     joined_folder: str,
     metrics_target: str,
     version_id: str,
+    reconciliation_folder: str | None = None,
     **metric_options,
 ) -> DataFrame:
     """Store the joined rows under their version, then the metrics taken from them.
 
     The join runs once: the metrics read back the few columns they need, and saving a
-    version again replaces it.
+    version again replaces it. With a folder for it, the reconciliation is stored whole under
+    the same version.
     """
     spark = report.joined.sparkSession
     stored = overwrite_batch(report.joined, joined_folder, version_id, "version_id")
     metrics = annual_metrics(read_table(spark, stored, report.joined.schema), **metric_options)
     overwrite_table(metrics, metrics_target)
+    if reconciliation_folder:
+        overwrite_batch(report.reconciliation, reconciliation_folder, version_id, "version_id")
     return read_table(spark, metrics_target)

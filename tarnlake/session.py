@@ -4,6 +4,7 @@ Nothing here is needed by the operators themselves: they take and return DataFra
 """
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,6 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # One reduce task should see about this much compressed input.
 BYTES_PER_SHUFFLE_PARTITION = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 40_000
 
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -69,7 +69,7 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     """
     wanted = math.ceil(input_bytes(spark, *paths) / BYTES_PER_SHUFFLE_PARTITION)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = max(current, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    chosen = max(current, wanted)
     if chosen != current:
         spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
     return chosen
@@ -83,7 +83,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         root = tempfile.gettempdir()
     session_folder = f"{root.rstrip('/')}/tarnlake-{spark.sparkContext.applicationId}"

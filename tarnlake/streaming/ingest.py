@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType, TimestampType
 
 from tarnlake.functions.records import parse_record
 from tarnlake.operators.batches import SNAPSHOT_FOLDER, UNKNOWN_YEAR
@@ -74,7 +74,11 @@ class BatchStore:
         return stored.join(complete, "batch_id", "left_semi").select(*schema.fieldNames(), "batch_id")
 
     def corrupt_messages(self, spark: SparkSession) -> DataFrame:
-        """Messages that were no record: stored beside the rows, out of the way of the table."""
+        """Messages that were no record or hold a value that could not be read.
+
+        Of the latter, what could be read is in the table too. The texts are stored beside the
+        rows, out of the way of the table.
+        """
         texts = spark.read.schema(f"{CORRUPT} string, batch_id int").parquet(self.rows)
         return texts.filter(F.col(CORRUPT).isNotNull()).select("batch_id", F.col(CORRUPT).alias("value"))
 
@@ -88,13 +92,20 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
     spark = batch.sparkSession
     date_type = batch.schema[date_column].dataType
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else F.lit(False)
+    # A moment in time goes through its microseconds; a date or a time without a zone through
+    # its text, since the session's zone may have no such hour.
+    in_zone = isinstance(date_type, TimestampType)
+
+    def bound(value):
+        return F.unix_micros(value) if in_zone else value.cast("string")
+
     seen = Observation()
     observed = batch.observe(
         seen,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(corrupt).alias("corrupt_count"),
-        F.unix_micros(F.min(date_column).cast("timestamp")).alias("low"),
-        F.unix_micros(F.max(date_column).cast("timestamp")).alias("high"),
+        bound(F.min(date_column)).alias("low"),
+        bound(F.max(date_column)).alias("high"),
         F.year(F.min(date_column)).alias("year"),
     )
     partition = overwrite_batch(observed, store.rows, batch_id)
@@ -104,8 +115,8 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
     snapshot = SNAPSHOT_FOLDER % (store.snapshots, figures.get("year") or UNKNOWN_YEAR, batch_id)
     spark.read.schema(record_schema).parquet(partition).write.mode("overwrite").parquet(snapshot)
 
-    def moment(micros):
-        return F.timestamp_micros(F.lit(micros).cast("long")).cast(date_type)
+    def moment(value):
+        return F.timestamp_micros(F.lit(value).cast("long")) if in_zone else F.lit(value).cast("string").cast(date_type)
 
     ledger_row = spark.range(0, 1, 1, 1).select(
         F.lit(f"batch_{batch_id}").alias("version_id"),

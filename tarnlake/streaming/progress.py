@@ -18,7 +18,14 @@ def _row(progress):
 
 
 def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """What Spark still remembers of a query's micro-batches (the last 100 by default)."""
+    """All micro-batches of a query, as long as Spark remembers them all; else it raises.
+
+    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates``. Use ``ProgressLog``
+    for queries that run on.
+    """
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(query.recentProgress) >= kept:
+        raise RuntimeError(f"Spark remembers the last {kept} micro-batches only; use ProgressLog")
     return spark.createDataFrame([_row(p) for p in query.recentProgress], PROGRESS)
 
 
@@ -38,6 +45,12 @@ class ProgressLog(StreamingQueryListener):
         if rows:
             append_table(self.spark.createDataFrame(rows, PROGRESS).coalesce(1), self.target)
 
+    def close(self):
+        """Wait for the events on their way, write what is left and stop listening."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.streams.removeListener(self)
+        self.flush()
+
     def onQueryStarted(self, event):
         pass
 

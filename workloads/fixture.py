@@ -90,7 +90,7 @@ def ledger(spark, sf_dir, snapshot_root="snapshots") -> DataFrame:
 def stored_ledger(spark, sf_dir, snapshot_root="snapshots") -> DataFrame:
     """The ledger as a table of its own, as it is in use: a few rows, read in no time."""
     folder = work_folder(spark, "ledger")
-    overwrite_table(ledger(spark, sf_dir, snapshot_root).coalesce(1), folder)
+    overwrite_table(ledger(spark, sf_dir, snapshot_root), folder)
     return read_table(spark, folder)
 
 

@@ -101,6 +101,12 @@ _LATEST_METRICS = f"""
     joined AS ({_joined(_JOINED_METRIC_COLUMNS, "newest")})
     {_metrics("joined")}"""
 
+RECONCILIATION = f"""
+    WITH {_samples()}, {_sites()}, {_ledger()}, {_last_slice()}
+    SELECT 'sites' AS missing_in, SITE_ID FROM (SELECT SITE_ID FROM sliced EXCEPT SELECT SITE_ID FROM sites)
+    UNION ALL
+    SELECT 'samples', SITE_ID FROM (SELECT SITE_ID FROM sites EXCEPT SELECT SITE_ID FROM sliced)"""
+
 ORACLES = {
     "scan_table": "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem",
     "scan_delimited_csv": "SELECT * FROM part",
@@ -150,7 +156,7 @@ ORACLES = {
         WHERE o_orderdate >= TIMESTAMP '1997-01-15' AND o_orderdate <= TIMESTAMP '1997-03-15'""",
     "row_number_desc": """
         SELECT o_custkey, o_orderdate, o_orderkey,
-               CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS row_num
+               CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS BIGINT) AS row_num
         FROM orders""",
     "scd1_latest": f"WITH {_samples()} {_newest('samples')}",
     "scd1_latest_composite": """
@@ -205,17 +211,14 @@ ORACLES = {
         SELECT orders.* FROM orders, last_batch
         WHERE o_orderdate >= min_datestamp AND o_orderdate <= max_datestamp""",
     "latest_batch_metrics": _LATEST_METRICS,
-    "latest_batch_reconciliation": f"""
-        WITH {_samples()}, {_sites()}, {_ledger()}, {_last_slice()}
-        SELECT 'sites' AS missing_in, SITE_ID FROM (SELECT SITE_ID FROM sliced EXCEPT SELECT SITE_ID FROM sites)
-        UNION ALL
-        SELECT 'samples', SITE_ID FROM (SELECT SITE_ID FROM sites EXCEPT SELECT SITE_ID FROM sliced)""",
+    "latest_batch_reconciliation": RECONCILIATION,
     "latest_sample_metrics": f"""
         WITH {_samples()}, {_sites()}, {_methods()},
         newest AS ({_newest("samples")}),
         joined AS ({_joined(_JOINED_METRIC_COLUMNS, "newest")})
         {_metrics("joined")}""",
     "report_saved": _LATEST_METRICS,
+    "report_reconciliation_saved": RECONCILIATION,
     "check_not_empty": f"""
         SELECT 'metrics is not empty' AS check_name, count(*) > 0 AS passed, count(*) AS row_count
         FROM ({_LATEST_METRICS})""",

@@ -327,6 +327,7 @@ def report(spark, d, kept=None):
         kept,
         sample_tie_break=("SAMPLE_NO",),
         method_tie_break=("METHOD_NO",),
+        ties_are_unique=True,
     )
 
 
@@ -350,6 +351,14 @@ def report_saved(spark, d):
     return rounded(metrics)
 
 
+def report_reconciliation_saved(spark, d):
+    joined, target, missing = (work_folder(spark, n) for n in ("joined", "metrics", "missing"))
+    result = report(spark, d, stored_ledger(spark, d))
+    for _ in range(2):
+        save_report(result, joined, target, "batch_13", missing)
+    return read_table(spark, missing).drop("version_id")
+
+
 def check_not_empty_query(spark, d):
     return check_not_empty(report(spark, d, stored_ledger(spark, d)).metrics, "metrics")
 
@@ -474,6 +483,7 @@ QUERIES = {
     "latest_batch_reconciliation": latest_batch_reconciliation,
     "latest_sample_metrics": latest_sample_metrics,
     "report_saved": report_saved,
+    "report_reconciliation_saved": report_reconciliation_saved,
     "check_not_empty": check_not_empty_query,
     "stream_json_ingest": stream_json_ingest,
     "stream_foreach_batch": stream_foreach_batch,
