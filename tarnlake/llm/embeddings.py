@@ -26,11 +26,14 @@ from tarnlake.llm.components import components
 
 THRESHOLD = 0.98
 #: Classes of a shard, about, before visitors; centroids are fitted on a sample of so many classes.
-SHARD_SIZE = 2000
+#: A walk takes little longer in a larger shard, while smaller shards have more border to visit.
+SHARD_SIZE = 8000
 CENTROID_SAMPLE = 50_000
 MAX_SHARDS = 4096
-#: Neighbours kept per node, width of the beam, and how far pruning lets a detour go.
+#: Neighbours kept per node, width of the beam that builds, and how far pruning lets a detour go.
 DEGREE, BEAM, ALPHA = 16, 32, 1.2
+#: The beam that searches is this part of it: it has to come near, the range does the rest.
+SEARCH_PART = 2
 #: How much farther (in squared distance) than the range the search goes on.
 EXPANSION = 4.0
 #: Classes that audit the recall, and the recall to be reached.
@@ -273,7 +276,7 @@ def _build(group: pa.Table, degree: int, width: int) -> pa.Table:
 def _search(group: pa.Table, threshold: float, width: int) -> pa.Table:
     """(class, linked vectors, a class it is connected with) of a shard's classes.
 
-    A pair that meets in two shards is counted in the one with the lower number.
+    The classes at home here are searched for; each link found counts for a visitor as well.
     """
     group = group.sort_by("class")
     ids, n = group.column("class").to_numpy(), group.column("n").to_numpy()
@@ -291,24 +294,23 @@ def _search(group: pa.Table, threshold: float, width: int) -> pa.Table:
     medoid = int((x @ x.mean(axis=0)).argmax())
     radius = 2 - 2 * threshold + 1e-5
     links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-    for at in range(0, len(ids), BATCH):
-        queries = np.arange(at, min(at + BATCH, len(ids)))
-        met, _ = beam_search(x, graph, medoid, x[queries], width)
+    at_home = np.flatnonzero(home == here)
+    for at in range(0, len(at_home), BATCH):
+        queries = at_home[at : at + BATCH]
+        met, _ = beam_search(x, graph, medoid, x[queries], max(2, width // SEARCH_PART))
         for q, own_met in zip(queries.tolist(), met):
             near = in_range(x, edges, q, np.append(own_met, q), radius)
             near = near[near != q]
             near = near[exact[near] @ exact[q] / (norms[near] * norms[q]) >= threshold]
             if not len(near):
                 continue
-            if home[q] == here:
-                # Partners that visit this shard while this class visits their home: once only.
-                elsewhere = [h < here and h in visited[q] for h in home[near].tolist()]
-                counted = near[~np.array(elsewhere)]
-            else:
-                at_home = near[home[near] == here]
-                twice = [home[q] < here and int(home[q]) in visited[k] for k in at_home.tolist()]
-                counted = at_home[~np.array(twice, dtype=bool)]
-            links[q] = n[counted].sum()
+            # A visitor whose own home this class visits meets it there too: the pair counts
+            # in the shard with the lower number, for both.
+            elsewhere = np.array([h < here and h in visited[q] for h in home[near].tolist()])
+            counted = near[~elsewhere]
+            links[q] += n[counted].sum()
+            visitors = counted[home[counted] != here]
+            links[visitors] += n[q]
             labels = np.unique(np.append(label[near], label[q]))
             if len(labels) > 1:
                 label[np.isin(label, labels)] = labels[0]
