@@ -15,9 +15,10 @@ from tarnlake.sources import (
     delimited_stream,
     kafka_stream,
     message_stream,
+    read_delimited,
     read_table,
 )
-from tarnlake.streaming import BatchStore, ProgressLog, drain, ingest, replay
+from tarnlake.streaming import BatchStore, ProgressLog, cut_for_replay, drain, finish, ingest, replay
 
 
 def create_tables(spark, args):
@@ -28,10 +29,13 @@ def create_tables(spark, args):
 
 def replay_rows(spark, args):
     as_text = StructType([StructField(c, StringType()) for c in SAMPLE_COLUMNS])
-    rows = delimited_stream(spark, args.source, as_text, args.sep, args.files_per_batch)
+    if args.rows_per_batch:
+        rows = cut_for_replay(read_delimited(spark, args.source, as_text, args.sep, missing_value_texts=True), args.rows_per_batch)
+    else:
+        rows = delimited_stream(spark, args.source, as_text, args.sep, args.files_per_batch)
     fmt = "kafka" if args.servers else "text"
     query = replay(rows, args.target, args.checkpoint, args.interval, fmt, args.servers)
-    drain(query, args.timeout)
+    (finish if args.interval else drain)(query, args.timeout)
 
 
 def ingest_messages(spark, args):
@@ -49,6 +53,10 @@ def ingest_messages(spark, args):
             log.close()
 
 
+def compact_ledger(spark, args):
+    BatchStore(args.store).compact_ledger(spark)
+
+
 def load_dimensions(spark, args):
     load_dimension(spark, args.methods_file, METHODS, args.methods, end_year_column="END_YEAR")
     load_dimension(spark, args.sites_file, SITES, args.sites)
@@ -90,15 +98,18 @@ def parser():
         for option in required:
             sub.add_argument(f"--{option}", required=True)
         for option, default in optional.items():
-            kind = int if option in ("timeout", "files_per_batch", "messages_per_batch") else str
+            kind = int if option in ("timeout", "files_per_batch", "rows_per_batch", "messages_per_batch") else str
             sub.add_argument(f"--{option.replace('_', '-')}", default=default, type=kind)
         return sub
 
     stream = {"servers": None, "interval": None, "timeout": None}
-    job("create-tables", create_tables, "schema", location=None)
+    job("create-tables", create_tables, "schema", location=None).description = (
+        "Make empty catalog tables; load-dimensions and report take their names in place of folders."
+    )
     job("clean", clean, "source", "target", sep=";")
-    job("replay", replay_rows, "source", "target", "checkpoint", sep=",", files_per_batch=None, **stream)
+    job("replay", replay_rows, "source", "target", "checkpoint", sep=",", files_per_batch=None, rows_per_batch=None, **stream)
     job("ingest", ingest_messages, "source", "store", "checkpoint", progress=None, messages_per_batch=None, **stream)
+    job("compact-ledger", compact_ledger, "store")
     job("load-dimensions", load_dimensions, "methods-file", "sites-file", "methods", "sites")
     job("report", report, "store", "sites", "methods", "joined", "metrics", reconciliation=None, spread="1").add_argument(
         "--all-samples", action="store_true", help="yearly means over all samples of a site"

@@ -24,6 +24,7 @@ def enrich(
 
     Spark splits a hot key along the files it comes from. Where a few files hold all of it,
     ``spread`` says over how many tasks the samples of a site go; sites are copied as often.
+    Samples without a site id, which meet no site, are dealt out the same way.
 
     A column that two tables share gets the suffix of the later one (``_METHODE``, ``_SITE``).
     """
@@ -36,17 +37,21 @@ def enrich(
     left = samples.withColumnsRenamed(sample_names)
     same_site = [F.col(f"{k}_LTM") == F.col(f"{k}_SITE") for k in site_keys]
     if spread > 1:
-        # By the row's own values, so that a task that runs again deals rows out alike.
-        part = F.pmod(F.xxhash64(*map(_quoted, sample_names.values())), F.lit(spread)).cast("int")
-        left = left.withColumn("__part_l", part)
-        copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-        described = described.withColumn("__part_r", copies)
+        left = left.withColumn("__part_l", _part(left, spread))
+        described = described.withColumn("__part_r", _copies(spread))
         same_site.append(F.col("__part_l") == F.col("__part_r"))
     joined = left.join(described, same_site, "left")
     return joined.select(*map(_quoted, [*sample_names.values(), *method_names.values(), *site_names.values()]))
 
 
-def enrich_sql(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_keys=SITE_KEYS, program_key=PROGRAM_KEY) -> DataFrame:
+def enrich_sql(
+    samples: DataFrame,
+    sites: DataFrame,
+    methods: DataFrame,
+    site_keys=SITE_KEYS,
+    program_key=PROGRAM_KEY,
+    spread: int = 1,
+) -> DataFrame:
     """``enrich`` as SQL text over the three frames, without global view names."""
     columns = ", ".join(
         f"{alias}.`{c}` AS `{name}`"
@@ -54,6 +59,9 @@ def enrich_sql(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_ke
         for c, name in names.items()
     )
     same_site = " AND ".join(f"s.`{k}` = t.`{k}`" for k in site_keys)
+    if spread > 1:
+        samples, sites = samples.withColumn("__part", _part(samples, spread)), sites.withColumn("__part", _copies(spread))
+        same_site += " AND s.__part = t.__part"
     return samples.sparkSession.sql(
         f"""
         SELECT {columns}
@@ -67,6 +75,15 @@ def enrich_sql(samples: DataFrame, sites: DataFrame, methods: DataFrame, site_ke
     )
 
 
+def _part(df, spread):
+    """By the row's own values, so that a task that runs again deals rows out alike."""
+    return F.pmod(F.xxhash64(*map(_quoted, df.columns)), F.lit(spread)).cast("int")
+
+
+def _copies(spread):
+    return F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+
+
 def _names(samples, sites, methods, site_keys, program_key):
     """New names of the columns of samples, methods and sites.
 

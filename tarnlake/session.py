@@ -75,6 +75,21 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     return chosen
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a written folder its final name, on any file system Spark can write."""
+    fs, from_path = _file_system(spark, source)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to_path.getParent())
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def delete_files(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, hadoop_path = _file_system(spark, path)
+        fs.delete(hadoop_path, False)
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared storage named by ``spark.checkpoint.dir``.
 

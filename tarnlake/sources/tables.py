@@ -69,8 +69,10 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: StructType, l
     )
 
 
-def read_snapshot(spark: SparkSession, ledger: DataFrame, version_id: str | None = None) -> DataFrame:
-    """The stored rows of one version, the newest unless one is named."""
+def read_snapshot(
+    spark: SparkSession, ledger: DataFrame, version_id: str | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """The stored rows of one version, the newest unless one is named; all columns, or a schema's."""
     if version_id:
         rows = ledger.filter(F.col("version_id") == version_id)
     else:
@@ -78,4 +80,4 @@ def read_snapshot(spark: SparkSession, ledger: DataFrame, version_id: str | None
     row = rows.select("snapshot_path").first()
     if row is None:
         raise LookupError(f"no version {version_id or 'at all'} in the ledger")
-    return spark.read.parquet(row["snapshot_path"])
+    return read_table(spark, row["snapshot_path"], schema)

@@ -1,13 +1,15 @@
 """Streams of messages into stored batches."""
 
-from tarnlake.streaming.ingest import BatchStore, drain, ingest, parse_messages, store_batch
+from tarnlake.streaming.ingest import BatchStore, drain, finish, ingest, parse_messages, store_batch
 from tarnlake.streaming.progress import ProgressLog, progress_rows
-from tarnlake.streaming.replay import replay
+from tarnlake.streaming.replay import cut_for_replay, replay
 
 __all__ = [
     "BatchStore",
     "ProgressLog",
+    "cut_for_replay",
     "drain",
+    "finish",
     "ingest",
     "parse_messages",
     "progress_rows",

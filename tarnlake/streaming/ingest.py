@@ -1,25 +1,29 @@
 """Parse a message stream and store every micro-batch once.
 
-A batch leaves three things: a partition of the table, a parquet snapshot and a ledger
-row. Each sits at a place named by the batch id and replaces what is there, so a retried
-batch leaves no duplicates. The ledger row comes last and marks the batch as complete;
-``BatchStore.table`` shows complete batches only. Errors are not caught: the batch then
-stays uncommitted and runs again, under the same id, after a restart.
+A batch leaves a folder of rows and a ledger row. Every try of a batch writes a folder of its
+own, which nothing changes later and which serves as the batch's snapshot too. The ledger row
+comes last and names that folder: readers see the newest try in the ledger and no other, so a
+retried batch leaves no duplicates and a try that fails changes nothing. Errors are not caught:
+the batch then stays uncommitted and runs again, under the same id, after a restart.
 """
 
+import threading
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StringType, StructType, TimestampType
+from pyspark.sql.types import LongType, StructType, TimestampType
 
 from tarnlake.functions.records import parse_record
 from tarnlake.operators.batches import SNAPSHOT_FOLDER, UNKNOWN_YEAR
 from tarnlake.schemas import ledger_schema
-from tarnlake.sources.tables import overwrite_batch
+from tarnlake.session import delete_files, move_folder
+from tarnlake.sources.tables import append_table, overwrite_table
 
 CORRUPT = "_corrupt_record"
+ATTEMPT = "attempt"
 
 
 def parse_messages(
@@ -43,7 +47,7 @@ def parse_messages(
 
 @dataclass(frozen=True)
 class BatchStore:
-    """Folders of one stream's output."""
+    """Folders of one stream's output; its rows have no columns ``year``, ``batch_id`` or ``attempt``."""
 
     root: str
 
@@ -51,27 +55,46 @@ class BatchStore:
     def rows(self) -> str:
         return f"{self.root}/rows"
 
-    @property
-    def snapshots(self) -> str:
-        return f"{self.root}/snapshots"
-
     @property
     def ledger_folder(self) -> str:
         return f"{self.root}/ledger"
 
-    def ledger(self, spark: SparkSession, date_type=None) -> DataFrame:
+    def _newest_tries(self, spark, date_type=None) -> DataFrame:
+        """The ledger's row of the newest try of each batch, with its ``attempt``."""
         schema = ledger_schema(date_type) if date_type else ledger_schema()
-        return spark.read.schema(StructType([*schema.fields]).add("batch", IntegerType())).parquet(
-            self.ledger_folder
-        ).drop("batch")
+        rows = spark.read.schema(StructType([*schema.fields]).add(ATTEMPT, LongType())).parquet(self.ledger_folder)
+        newest = rows.groupBy("version_id").agg(F.max_by(F.struct(*rows.columns), ATTEMPT).alias("row"))
+        return newest.select("row.*")
+
+    def ledger(self, spark: SparkSession, date_type=None) -> DataFrame:
+        return self._newest_tries(spark, date_type).drop(ATTEMPT)
 
-    def table(self, spark: SparkSession, schema: StructType, date_type=None) -> DataFrame:
+    def compact_ledger(self, spark: SparkSession, date_type=None) -> None:
+        """Fold the ledger's files, one per batch, into one file; a job to run now and then.
+
+        The folded rows are in the folder before the old files go, and a row that is there twice
+        counts once, so a run that is cut short does no harm. A reader that listed the old
+        files just before has to start again.
+        """
+        old = spark.read.parquet(self.ledger_folder).inputFiles()
+        append_table(self._newest_tries(spark, date_type).coalesce(1), self.ledger_folder)
+        delete_files(spark, old)
+
+    def _of_ledger(self, spark, schema: StructType) -> DataFrame:
+        """Columns of the stored rows that belong to the newest try of a batch, with ``batch_id``.
+
+        Batch and attempt are folders, so the join prunes what is not in the ledger.
+        """
+        folders = StructType([*schema.fields]).add("year", "string").add("batch_id", "integer").add(ATTEMPT, LongType())
+        tries = spark.read.schema(f"version_id string, {ATTEMPT} long").parquet(self.ledger_folder)
+        number = F.regexp_extract("version_id", r"batch_(\d+)", 1).cast("int").alias("batch_id")
+        complete = tries.groupBy(number).agg(F.max(ATTEMPT).alias(ATTEMPT))
+        stored = spark.read.schema(folders).parquet(self.rows)
+        return stored.join(complete, ["batch_id", ATTEMPT], "left_semi").select(*schema.fieldNames(), "batch_id")
+
+    def table(self, spark: SparkSession, schema: StructType) -> DataFrame:
         """Rows of the batches that are in the ledger, with their ``batch_id``."""
-        stored = spark.read.schema(StructType([*schema.fields]).add("batch_id", IntegerType())).parquet(self.rows)
-        complete = self.ledger(spark, date_type).select(
-            F.regexp_extract("version_id", r"batch_(\d+)", 1).cast("int").alias("batch_id")
-        )
-        return stored.join(complete, "batch_id", "left_semi").select(*schema.fieldNames(), "batch_id")
+        return self._of_ledger(spark, schema)
 
     def corrupt_messages(self, spark: SparkSession) -> DataFrame:
         """Messages that were no record or hold a value that could not be read.
@@ -79,15 +102,15 @@ class BatchStore:
         Of the latter, what could be read is in the table too. The texts are stored beside the
         rows, out of the way of the table.
         """
-        texts = spark.read.schema(f"{CORRUPT} string, batch_id int").parquet(self.rows)
+        texts = self._of_ledger(spark, StructType().add(CORRUPT, "string"))
         return texts.filter(F.col(CORRUPT).isNotNull()).select("batch_id", F.col(CORRUPT).alias("value"))
 
 
 def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column: str) -> None:
     """Write one micro-batch; its messages are read and parsed once, on the way to the table.
 
-    The ledger figures are taken from that same write, and the snapshot is a copy of the
-    stored columns.
+    The ledger figures are taken from that same write. Rows are written aside and then moved to
+    their place under the year of the batch's first date; what is aside, readers do not see.
     """
     spark = batch.sparkSession
     date_type = batch.schema[date_column].dataType
@@ -108,12 +131,13 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
         bound(F.max(date_column)).alias("high"),
         F.year(F.min(date_column)).alias("year"),
     )
-    partition = overwrite_batch(observed, store.rows, batch_id)
+    attempt = time.time_ns()
+    aside = f"{store.rows}/_aside/{batch_id}-{attempt}"
+    overwrite_table(observed, aside)
     figures = seen.get
-
-    record_schema = StructType([f for f in batch.schema if f.name != CORRUPT])
-    snapshot = SNAPSHOT_FOLDER % (store.snapshots, figures.get("year") or UNKNOWN_YEAR, batch_id)
-    spark.read.schema(record_schema).parquet(partition).write.mode("overwrite").parquet(snapshot)
+    year = figures.get("year") or UNKNOWN_YEAR
+    snapshot = f"{SNAPSHOT_FOLDER % (store.rows, year, batch_id)}/{ATTEMPT}={attempt}"
+    move_folder(spark, aside, snapshot)
 
     def moment(value):
         return F.timestamp_micros(F.lit(value).cast("long")) if in_zone else F.lit(value).cast("string").cast(date_type)
@@ -126,8 +150,9 @@ def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column:
         F.lit(snapshot).alias("snapshot_path"),
         F.lit(figures.get("row_count", 0)).cast("long").alias("row_count"),
         F.lit(figures.get("corrupt_count", 0)).cast("long").alias("corrupt_count"),
+        F.lit(attempt).alias(ATTEMPT),
     )
-    overwrite_batch(ledger_row, store.ledger_folder, batch_id, "batch")
+    append_table(ledger_row, store.ledger_folder)
 
 
 def ingest(
@@ -157,6 +182,31 @@ def ingest(
     return writer.trigger(availableNow=True).start()
 
 
+def finish(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
+    """Let a query with an interval send all there is now, at its pace, and end it.
+
+    It raises after ``timeout`` seconds, as ``drain`` does.
+    """
+    late = threading.Event()
+
+    def give_up():
+        late.set()
+        query.stop()
+
+    timer = threading.Timer(timeout, give_up) if timeout is not None else None
+    if timer:
+        timer.start()
+    try:
+        query.processAllAvailable()
+    finally:
+        if timer:
+            timer.cancel()
+    if late.is_set():
+        raise TimeoutError(f"stream {query.id} was not done after {timeout} s")
+    query.stop()
+    return query
+
+
 def drain(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to end; stop it and raise after ``timeout`` seconds."""
     if not query.awaitTermination(timeout) and timeout is not None:

@@ -3,9 +3,22 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tarnlake.session import work_folder
 from tarnlake.sources.messages import to_messages
 
 
+def cut_for_replay(rows: DataFrame, rows_per_batch: int) -> DataFrame:
+    """Stored rows as a stream with at most ``rows_per_batch`` rows in each micro-batch.
+
+    Spark's file streams count files, not rows, so the rows are first written in files of that size,
+    and a micro-batch takes one file.
+    """
+    spark = rows.sparkSession
+    folder = work_folder(spark, "replay")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_batch).parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def replay(
     rows: DataFrame,
     target: str,
@@ -16,9 +29,9 @@ def replay(
 ) -> StreamingQuery:
     """Turn a stream of rows into a stream of JSON messages.
 
-    How much goes out per batch is set on the source (``maxFilesPerTrigger`` or
-    ``maxOffsetsPerTrigger``) and how often by ``interval``; without one the query sends
-    all there is, in batches of that size, and ends.
+    How much goes out per batch is set on the source (``cut_for_replay``, ``maxFilesPerTrigger``
+    or ``maxOffsetsPerTrigger``) and how often by ``interval``; without one the query sends
+    all there is, in batches of that size, and ends. With one, ``finish`` ends it when all is sent.
     """
     writer = to_messages(rows).writeStream.outputMode("append").option("checkpointLocation", checkpoint).format(fmt)
     if fmt == "kafka":

@@ -1,15 +1,29 @@
 """Streams over text files: what is stored, and what a failure leaves behind."""
 
 import json
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
+from tarnlake.__main__ import main
 from tarnlake.schemas import LEDGER, SAMPLES
 from tarnlake.session import work_folder
 from tarnlake.sources import message_stream, read_snapshot
-from tarnlake.streaming import BatchStore, ProgressLog, drain, ingest, parse_messages, progress_rows, replay, store_batch
+from tarnlake.streaming import (
+    BatchStore,
+    ProgressLog,
+    cut_for_replay,
+    drain,
+    finish,
+    ingest,
+    parse_messages,
+    progress_rows,
+    replay,
+    store_batch,
+)
 
 
 def record(i, **more):
@@ -51,8 +65,8 @@ def test_stream_stores_what_the_batch_form_parses(spark, messages):
 
     first = rows["batch_0"]
     assert first.description == "Batch 0"
-    assert first.snapshot_path.endswith(f"/year={first.min_datestamp.year}/batch_id=0")
-    restored = read_snapshot(spark, ledger, "batch_0")
+    assert f"/year={first.min_datestamp.year}/batch_id=0/attempt=" in first.snapshot_path
+    restored = read_snapshot(spark, ledger, "batch_0", SAMPLES)
     low, high = restored.agg(F.min("DATE_SMP"), F.max("DATE_SMP")).first()
     assert (low, high, restored.count()) == (first.min_datestamp, first.max_datestamp, 5)
     assert restored.columns == SAMPLES.fieldNames()
@@ -72,7 +86,7 @@ def test_a_failed_batch_runs_again_and_nothing_doubles(spark, messages, stage):
         if broken and stage == "before":
             raise RuntimeError("planned")
         if broken and stage == "rows_only":
-            batch.write.parquet(f"{target.rows}/batch_id={batch_id}")
+            batch.write.parquet(f"{target.rows}/year=2000/batch_id={batch_id}/attempt=1")
             raise RuntimeError("planned")
         store_batch(batch, batch_id, target, date_column)
         if broken:
@@ -89,6 +103,35 @@ def test_a_failed_batch_runs_again_and_nothing_doubles(spark, messages, stage):
     assert store.ledger(spark).count() == 4
 
 
+def test_a_failed_second_try_changes_nothing(spark):
+    store = BatchStore(work_folder(spark, "store"))
+    good = spark.createDataFrame([("s", 1), ("t", 2)], "SITE_ID string, DATE_SMP int").withColumn("DATE_SMP", F.lit("2020-01-01").cast("date"))
+    store_batch(good, 0, store, "DATE_SMP")
+    before = [sorted(map(str, df.collect())) for df in (store.table(spark, good.schema), store.ledger(spark, DateType()))]
+    with pytest.raises(Exception, match="planned"):
+        store_batch(good.withColumn("SITE_ID", F.raise_error(F.lit("planned")).cast("string")), 0, store, "DATE_SMP")
+    after = [sorted(map(str, df.collect())) for df in (store.table(spark, good.schema), store.ledger(spark, DateType()))]
+    assert before == after and len(before[0]) == 2
+
+    store_batch(good.limit(1), 0, store, "DATE_SMP")
+    assert store.table(spark, good.schema).count() == 1, "the newest try counts"
+    first, second = (r.snapshot_path for r in spark.read.parquet(store.ledger_folder).orderBy("attempt").collect())
+    assert spark.read.parquet(first).count() == 2 and spark.read.parquet(second).count() == 1
+
+
+def test_compacted_ledger_says_the_same(spark):
+    store = BatchStore(work_folder(spark, "store"))
+    rows = spark.createDataFrame([("s",)], "SITE_ID string").withColumn("DATE_SMP", F.lit("2020-01-01").cast("timestamp"))
+    for number in (0, 1, 2, 1):
+        store_batch(rows, number, store, "DATE_SMP")
+    before = sorted(map(str, store.ledger(spark).collect()))
+    main(["compact-ledger", "--store", store.root], spark)
+    assert sorted(map(str, store.ledger(spark).collect())) == before and len(before) == 3
+    assert len(spark.read.parquet(store.ledger_folder).inputFiles()) == 1
+    store_batch(rows, 3, store, "DATE_SMP")
+    assert store.ledger(spark).count() == 4 and store.table(spark, rows.schema).count() == 4
+
+
 def test_batch_without_rows_or_dates(spark):
     store = BatchStore(work_folder(spark, "store"))
     none = spark.createDataFrame([], SAMPLES)
@@ -121,6 +164,24 @@ def test_replay_keeps_the_pace_of_the_source(spark, messages):
     assert sorted(map(str, again.collect())) == sorted(map(str, parse_messages(lines, SAMPLES).collect()))
 
 
+def test_replay_by_rows_keeps_its_pace_and_ends(spark):
+    rows = spark.range(20).select(F.col("id").cast("string").alias("SITE_ID"))
+    started = time.monotonic()
+    sent = replay(cut_for_replay(rows.coalesce(1), 5), work_folder(spark, "out"), work_folder(spark, "progress"), "1 second")
+    query = finish(sent, 60)
+    assert not query.isActive and time.monotonic() - started >= 3
+    counts = [p.row_count for p in progress_rows(spark, query).where("row_count > 0").collect()]
+    assert counts == [5, 5, 5, 5]
+
+
+def test_finish_gives_up_after_the_timeout(spark):
+    rows = cut_for_replay(spark.range(20).select(F.col("id").cast("string").alias("SITE_ID")).coalesce(1), 5)
+    sent = replay(rows, work_folder(spark, "out"), work_folder(spark, "progress"), "1 hour")
+    with pytest.raises(TimeoutError):
+        finish(sent, 2)
+    assert not sent.isActive
+
+
 def test_progress_log_is_written_in_groups(spark, messages):
     stream, _ = messages
     target = work_folder(spark, "log")

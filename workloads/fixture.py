@@ -20,7 +20,6 @@ from tarnlake.sources import (
 )
 
 FIRST_YEAR = 1995
-MAX_ROWS_PER_FILE = 5_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,9 +106,12 @@ def stored_snapshots(spark, sf_dir) -> tuple[DataFrame, str]:
     return kept, root
 
 
-def file_sizes(rows: int, batches: int = 4) -> tuple[int, int]:
-    """Rows per file and files per micro-batch that give about ``batches`` micro-batches."""
-    rows_per_file = max(1, min(MAX_ROWS_PER_FILE, math.ceil(rows / (8 * batches))))
+def file_sizes(rows: int, batches: int = 4, files_per_batch: int = 8, most_rows: int = 5_000_000) -> tuple[int, int]:
+    """Rows per file and files per micro-batch that give about ``batches`` micro-batches.
+
+    A file holds ``most_rows`` at most; a micro-batch of a large table then has more files.
+    """
+    rows_per_file = max(1, min(most_rows, math.ceil(rows / (files_per_batch * batches))))
     return rows_per_file, math.ceil(math.ceil(rows / rows_per_file) / batches)
 
 

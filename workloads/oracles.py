@@ -93,6 +93,10 @@ _ALL_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM event
 
 _FULL_JOIN = f"WITH {_samples()}, {_sites()}, {_methods()} {_joined(_JOINED_COLUMNS)}"
 
+_SHARED_NAMES = f"""
+    WITH {_samples()}, {_sites()}, {_methods()}
+    {_joined("s.SAMPLE_NO, s.SO4_UEQ_L AS STATE, m.METHOD AS STATE_METHODE, t.STATE AS STATE_SITE")}"""
+
 _JOINED_METRIC_COLUMNS = "s.SITE_ID, s.PROGRAM_ID, s.DATE_SMP, s.PH_LAB, s.SO4_UEQ_L, s.NO3_UEQ_L"
 
 _LATEST_METRICS = f"""
@@ -110,7 +114,7 @@ RECONCILIATION = f"""
 ORACLES = {
     "scan_table": "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem",
     "scan_delimited_csv": "SELECT * FROM part",
-    "csv_redelimit": "SELECT * FROM customer",
+    "csv_redelimit": """SELECT * REPLACE (' "' || c_name || '"; , ' AS c_name) FROM customer""",
     "csv_clean_profile": """
         SELECT 0 AS position, 'c_custkey' AS column_name, count(*) FILTER (c_custkey IS NULL) AS null_count FROM customer
         UNION ALL SELECT 1, 'c_acctbal', count(*) FILTER (c_acctbal < 0) FROM customer
@@ -174,6 +178,8 @@ ORACLES = {
             t.PROGRAM_ID AS PROGRAM_ID_SITE, m.PROGRAM_ID AS PROGRAM_ID_METHODE, m.METHOD''')}""",
     "enrich_left_join": _FULL_JOIN,
     "enrich_left_join_sql": _FULL_JOIN,
+    "enrich_shared_names": _SHARED_NAMES,
+    "enrich_shared_names_sql": _SHARED_NAMES,
     "count_rows": "SELECT count(*) AS row_count FROM events",
     "batch_min_max": """
         SELECT min(ts) AS min_datestamp, max(ts) AS max_datestamp, count(*) AS row_count FROM events""",
@@ -230,5 +236,7 @@ ORACLES = {
                CAST(0 AS BIGINT) AS corrupt_count
         FROM events""",
     "stream_paced_replay": _ALL_EVENTS,
+    "stream_replay_pace": "SELECT count(*) AS rows_sent, CAST(0 AS BIGINT) AS batches_above_pace FROM events",
+    "stream_compacted_ledger": _ALL_EVENTS,
     "stream_progress": "SELECT count(*) AS rows_seen, CAST(0 AS BIGINT) AS untimed_batches FROM events",
 }

@@ -46,7 +46,9 @@ from tarnlake.sources import (
 )
 from tarnlake.streaming import (
     BatchStore,
+    cut_for_replay,
     drain,
+    finish,
     ingest,
     parse_messages,
     progress_rows,
@@ -78,18 +80,25 @@ def rounded(metrics):
 # Sources and sinks
 
 
+def other_layout(rows):
+    """The rows with their columns in another order, and one that nobody declares."""
+    return rows.select(F.lit("more").alias("MORE"), *reversed(rows.columns))
+
+
 def scan_table(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
 
 
 def scan_delimited_csv(spark, d):
     part, folder = table(spark, d, "part"), work_folder(spark, "csv")
-    write_delimited(part, folder, ";")
+    write_delimited(other_layout(part), folder, ";")
     return read_delimited(spark, folder, part.schema, ";")
 
 
 def csv_redelimit(spark, d):
-    customer = table(spark, d, "customer")
+    # Quotes, both delimiters and blanks at the edges are part of the value.
+    quoted = F.format_string(' "%s"; , ', "c_name")
+    customer = table(spark, d, "customer").withColumn("c_name", quoted)
     source, target = work_folder(spark, "csv"), work_folder(spark, "csv")
     write_delimited(customer, source, ";")
     redelimit(spark, source, target)
@@ -110,7 +119,7 @@ def csv_clean_profile(spark, d):
 def load_dimension_query(spark, d):
     rows = methods(spark, d)
     source, target = work_folder(spark, "csv"), work_folder(spark, "dimension")
-    write_delimited(rows, source, ";")
+    write_delimited(other_layout(rows), source, ";")
     return load_dimension(spark, source, rows.schema, target, end_year_column="END_YEAR")
 
 
@@ -139,8 +148,8 @@ def sink_append(spark, d):
 
 def sink_append_idempotent(spark, d):
     orders, target = numbered_orders(spark, d), work_folder(spark, "batches")
-    write_batches(orders, target, "batch_id")
-    write_batches(orders.filter("batch_id = 2"), target, "batch_id")
+    write_batches(orders, target, "batch_id", rebalance=True)
+    write_batches(orders.filter("batch_id = 2"), target, "batch_id", rebalance=True)
     return read_table(spark, target)
 
 
@@ -242,8 +251,8 @@ def newest_methods(spark, d):
 
 
 def left_join_composite(spark, d):
-    left, right = samples(spark, d), sites(spark, d)
-    return left.join(right, ["SITE_ID", "PROGRAM_ID"], "left").select(
+    joined = enrich(samples(spark, d), sites(spark, d), newest_methods(spark, d))
+    return joined.withColumnsRenamed({"SITE_ID_LTM": "SITE_ID", "PROGRAM_ID_LTM": "PROGRAM_ID"}).select(
         "SITE_ID", "PROGRAM_ID", "SAMPLE_NO", "SITE_NAME", "STATE"
     )
 
@@ -261,6 +270,18 @@ def enrich_left_join_sql(spark, d):
     return enrich_sql(samples(spark, d), sites(spark, d), newest_methods(spark, d))
 
 
+def enrich_shared_names(spark, d, form=enrich):
+    """All three tables have a column STATE; samples of a site go to eight tasks."""
+    measured = samples(spark, d).withColumn("STATE", F.col("SO4_UEQ_L"))
+    described = newest_methods(spark, d).withColumn("STATE", F.col("METHOD"))
+    joined = form(measured, sites(spark, d), described, spread=8)
+    return joined.select("SAMPLE_NO", "STATE", "STATE_METHODE", "STATE_SITE")
+
+
+def enrich_shared_names_sql(spark, d):
+    return enrich_shared_names(spark, d, enrich_sql)
+
+
 # Aggregates, checks and sets
 
 
@@ -398,7 +419,7 @@ def _ingested(spark, d, on_batch=store_batch, restarts=0):
 
 def stream_foreach_batch(spark, d):
     _, store, schema = _ingested(spark, d)
-    return store.table(spark, schema, schema["ts"].dataType).drop("batch_id")
+    return store.table(spark, schema).drop("batch_id")
 
 
 def stream_restart(spark, d):
@@ -411,7 +432,7 @@ def stream_restart(spark, d):
             raise RuntimeError("planned failure after the batch was written")
 
     _, store, schema = _ingested(spark, d, fail_once, restarts=1)
-    return store.table(spark, schema, schema["ts"].dataType).drop("batch_id")
+    return store.table(spark, schema).drop("batch_id")
 
 
 def stream_batch_ledger(spark, d):
@@ -432,6 +453,23 @@ def stream_paced_replay(spark, d):
     return parse_messages(spark.read.text(target), schema)
 
 
+def stream_replay_pace(spark, d):
+    """All events sent, so many rows at a time; batches above that are counted."""
+    events, pace = table(spark, d, "events"), 5000
+    sent = replay(cut_for_replay(events, pace), work_folder(spark, "replayed"), work_folder(spark, "progress"), "0 seconds")
+    return progress_rows(spark, finish(sent)).agg(
+        F.sum("row_count").cast("long").alias("rows_sent"),
+        F.count_if(F.col("row_count") > pace).alias("batches_above_pace"),
+    )
+
+
+def stream_compacted_ledger(spark, d):
+    _, store, schema = _ingested(spark, d)
+    for _ in range(2):
+        store.compact_ledger(spark, schema["ts"].dataType)
+    return store.table(spark, schema).drop("batch_id")
+
+
 def stream_progress(spark, d):
     query, _, _ = _ingested(spark, d)
     return progress_rows(spark, query).agg(
@@ -468,6 +506,8 @@ QUERIES = {
     "left_join_chained": left_join_chained,
     "enrich_left_join": enrich_left_join,
     "enrich_left_join_sql": enrich_left_join_sql,
+    "enrich_shared_names": enrich_shared_names,
+    "enrich_shared_names_sql": enrich_shared_names_sql,
     "count_rows": count_rows_query,
     "batch_min_max": batch_min_max,
     "distinct_ids": distinct_ids_query,
@@ -490,5 +530,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "stream_batch_ledger": stream_batch_ledger,
     "stream_paced_replay": stream_paced_replay,
+    "stream_replay_pace": stream_replay_pace,
+    "stream_compacted_ledger": stream_compacted_ledger,
     "stream_progress": stream_progress,
 }
