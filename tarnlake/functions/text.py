@@ -16,7 +16,7 @@ def _column(c) -> Column:
 
 # What text that can be read as a double starts with. Trying to read any other text is
 # correct but throws and catches an exception per row, ten times the cost of this test.
-_NUMBER_START = r"^[\x00-\x20]*[+-]?[0-9.iI]"
+NUMBER_START = r"^[\x00-\x20]*[+-]?[0-9.iI]"
 
 
 def decimal_comma(c) -> Column:
@@ -26,7 +26,7 @@ def decimal_comma(c) -> Column:
     """
     text = F.replace(_column(c), F.lit(","), F.lit("."))
     number = F.nullif(text.try_cast("double"), F.lit(float("nan")))
-    return F.when(text.rlike(_NUMBER_START), number)
+    return F.when(text.rlike(NUMBER_START), number)
 
 
 def trailing_number(c, prefix: str = "batch_") -> Column:

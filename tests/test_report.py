@@ -135,4 +135,10 @@ def test_clean_file(spark, tmp_path):
     target = str(tmp_path / "clean")
     got = [tuple(r) for r in clean_file(spark, str(tmp_path / "raw.csv"), target).collect()]
     assert got == [(0, "a", "int", 1), (1, "b", "string", 1), (2, "c", "string", 0)]
+    (tmp_path / "kinds.csv").write_text("i;l;d;day;t;b;none;mixed\n1;5000000000;2.5;2020-01-02;2020-01-02 03:04:05;true;;1\n-2;3;1e3;2021-01-02;2020-01-02T03:04:05;FALSE;NA;true\n")
+    kinds = clean_file(spark, str(tmp_path / "kinds.csv"), f"{target}-kinds").select("data_type", "null_count").collect()
+    assert [k[0] for k in kinds] == ["int", "bigint", "double", "date", "timestamp", "boolean", "string", "string"]
+    assert [k[1] for k in kinds] == [0, 0, 0, 0, 0, 0, 2, 0]
+    (tmp_path / "empty.csv").write_text("a;b\n")
+    assert [tuple(r)[1:] for r in clean_file(spark, str(tmp_path / "empty.csv"), f"{target}-empty").collect()] == [("a", "string", 0), ("b", "string", 0)]
     assert sorted(map(tuple, spark.read.csv(target, header=True).collect()), key=str) == [("1", "x", "2,5"), (None, None, "3")]

@@ -209,13 +209,13 @@ def substr_year(spark, d):
 
 
 def project_alias(spark, d):
-    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
-    return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        F.col("o_orderkey").alias("SAMPLE_NO"),
-        F.col("o_custkey").alias("SITE_ID_LTM"),
-        F.col("c_custkey").alias("SITE_ID_SITE"),
-        F.col("c_nationkey").alias("PROGRAM_ID_SITE"),
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("SAMPLE_NO"), F.col("o_custkey").alias("SITE_ID"))
+    customer = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("SITE_ID"), F.col("c_nationkey").alias("PROGRAM_ID")
     )
+    joined = enrich(orders.withColumn("PROGRAM_ID", F.lit(0)), customer, newest_methods(spark, d), site_keys=("SITE_ID",))
+    found = joined.where("SITE_ID_SITE IS NOT NULL")
+    return found.select("SAMPLE_NO", "SITE_ID_LTM", "SITE_ID_SITE", "PROGRAM_ID_SITE")
 
 
 def batch_slice_range(spark, d):
