@@ -160,7 +160,8 @@ def test_mix(spark, docs, none):
     assert {r["source"]: r["source_size"] for r in rows} == {"a": 18, "b": 0, "c": 180_010, None: 6}
     sizes = spark.createDataFrame([("a", 10), ("b", 10), ("c", 100), (None, 0)], "source string, source_size long")
     targets = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
-    assert targets == {"a": 30.0, "b": 30.0, "c": 60.0, None: 0.0}
+    # By weight 20, 40, 60 and 0: b stops at 30, and a and c share the other 90 as 1 to 3.
+    assert targets == {"a": 22.5, "b": 30.0, "c": 67.5, None: 0.0}
     assert sorted(map(str, mixing.mix(docs).collect())) == sorted(map(str, rows)) and mixing.mix(none).count() == 0
 
 
