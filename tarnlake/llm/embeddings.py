@@ -11,6 +11,10 @@ drops a candidate that a nearer neighbour leads to. A vector's adjacency lists o
 shards are joined. The search goes greedily from the medoid to each vector and from there
 expands over neighbours as long as it finds vectors within range. Every link is verified in
 double precision; a bounded sample of classes, compared with all others, audits the recall.
+
+A shard may be crowded, as no border parts a dense group of vectors. It is then cut into chunks
+with a graph each, and the classes of every chunk search every graph, each two in a task of their
+own: the same links, and no task holds more than two chunks.
 """
 
 import math
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import prepare, stored
@@ -30,6 +34,8 @@ THRESHOLD = 0.98
 SHARD_SIZE = 8000
 CENTROID_SAMPLE = 50_000
 MAX_SHARDS = 4096
+#: Classes of a shard, visitors included, above which it is cut into chunks of that size.
+CELL_SIZE = 4 * SHARD_SIZE
 #: Neighbours kept per node, width of the beam that builds, and how far pruning lets a detour go.
 DEGREE, BEAM, ALPHA = 16, 32, 1.2
 #: The beam that searches is this part of it: it has to come near, the range does the rest.
@@ -260,6 +266,7 @@ def _placer(centroids, radius):
     return place
 
 
+_SHARD = ("label", "length", "shard")
 _PLACED = "class long, label int, length int, shard int, home int, shards array<int>, n long, vector array<float>"
 
 
@@ -274,32 +281,39 @@ def _build(group: pa.Table, degree: int, width: int) -> pa.Table:
 
 
 def _search(group: pa.Table, threshold: float, width: int) -> pa.Table:
-    """(class, linked vectors, a class it is connected with) of a shard's classes.
+    """(class, linked vectors, a class it is connected with) of a cell's classes.
 
-    The classes at home here are searched for; each link found counts for a visitor as well.
+    The members are the chunk with the graph. Those at home here are searched for, or where
+    another chunk asks, its classes at home; each link found counts for a visitor as well.
     """
-    group = group.sort_by("class")
+    group = group.sort_by([("member", "descending"), ("class", "ascending")])
     ids, n = group.column("class").to_numpy(), group.column("n").to_numpy()
+    members = sum(group.column("member").to_pylist())
+    if not members:
+        return pa.table({"class": ids[:0], "links": n[:0], "with": ids[:0]})
     home = group.column("home").to_numpy()
     here = group.column("shard")[0].as_py()
+    own_chunk = group.column("asking")[0] == group.column("asked")[0]
     visited = [set(s) for s in group.column("shards").to_pylist()]
     exact = _matrix(group.column("vector"))
     norms = np.linalg.norm(exact, axis=1)
     x = (exact / norms[:, None]).astype(np.float32)
-    lists = [np.searchsorted(ids, near) for near in (np.intersect1d(v, ids) for v in group.column("neighbours").to_pylist())]
-    graph = np.full((len(ids), max(map(len, lists), default=0)), -1, dtype=np.int64)
+    known = ids[:members]
+    near_ids = group.column("neighbours").slice(0, members).to_pylist()
+    lists = [np.searchsorted(known, near) for near in (np.intersect1d(v, known) for v in near_ids)]
+    graph = np.full((members, max(map(len, lists), default=0)), -1, dtype=np.int64)
     for i, near in enumerate(lists):
         graph[i, : len(near)] = near
     edges = both_ways(graph)
-    medoid = int((x @ x.mean(axis=0)).argmax())
+    medoid = int((x[:members] @ x[:members].mean(axis=0)).argmax())
     radius = 2 - 2 * threshold + 1e-5
     links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-    at_home = np.flatnonzero(home == here)
+    at_home = np.flatnonzero(home == here) if own_chunk else np.arange(members, len(ids))
     for at in range(0, len(at_home), BATCH):
         queries = at_home[at : at + BATCH]
         met, _ = beam_search(x, graph, medoid, x[queries], max(2, width // SEARCH_PART))
         for q, own_met in zip(queries.tolist(), met):
-            near = in_range(x, edges, q, np.append(own_met, q), radius)
+            near = in_range(x, edges, q, np.append(own_met, q) if own_chunk else own_met, radius)
             near = near[near != q]
             near = near[exact[near] @ exact[q] / (norms[near] * norms[q]) >= threshold]
             if not len(near):
@@ -318,18 +332,39 @@ def _search(group: pa.Table, threshold: float, width: int) -> pa.Table:
     return pa.table({"class": ids[said], "links": links[said], "with": ids[label[said]]})
 
 
+def _chunked(placed: DataFrame) -> DataFrame:
+    """``placed`` with the ``chunk`` of each class and the number of ``chunks`` of its shard."""
+    counts = placed.groupBy(*_SHARD).agg(F.ceil(F.count(F.lit(1)) / CELL_SIZE).alias("chunks"))
+    cut = stored(counts.where("chunks > 1"), "cut-shards")
+    chunks = F.coalesce("chunks", F.lit(1).cast("long"))
+    return placed.join(cut, list(_SHARD), "left").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("class"), "chunks"))
+
+
+def _cells() -> Column:
+    """Where a class goes: to the graph of its chunk, for each chunk that asks, and to ask the others."""
+    every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
+    serves = F.transform(every, lambda c: F.struct(c.alias("asking"), F.col("chunk").alias("asked"), F.lit(True).alias("member")))
+    asks = F.transform(every, lambda c: F.struct(F.col("chunk").alias("asking"), c.alias("asked"), F.lit(False).alias("member")))
+    others = F.filter(asks, lambda cell: (F.col("home") == F.col("shard")) & (cell["asked"] != F.col("chunk")))
+    return F.concat(serves, others)
+
+
 def _links(classes: DataFrame, threshold: float, degree: int, width: int) -> DataFrame:
-    """(``class``, ``links``, ``with``) per shard, stored."""
+    """(``class``, ``links``, ``with``) per cell, stored."""
     radius = math.sqrt(2 - 2 * threshold)
     rows = classes.select("class", "label", "n", "vector")
     placed = stored(rows.mapInArrow(_placer(_centroids(classes), radius), _PLACED), "vector-shards")
-    key = ("label", "length", "shard")
-    edges = placed.select(*key, "class", "vector").groupBy(*key).applyInArrow(lambda g: _build(g, degree, width), "class long, neighbour long")
+    chunked = _chunked(placed)
+    graphs = chunked.select(*_SHARD, "chunk", "class", "vector").groupBy(*_SHARD, "chunk")
+    edges = graphs.applyInArrow(lambda g: _build(g, degree, width), "class long, neighbour long")
     joined = edges.groupBy("class").agg(F.collect_set("neighbour").alias("neighbours"))
     searched = (
-        placed.join(joined, "class", "left")
-        .withColumn("neighbours", F.coalesce("neighbours", F.array().cast("array<long>")))
-        .groupBy(*key)
+        chunked.join(joined, "class", "left")
+        .withColumn("cell", F.explode(_cells()))
+        .select("*", "cell.*")
+        .withColumn("neighbours", F.when(F.col("member"), F.coalesce("neighbours", F.array().cast("array<long>"))))
+        .select("class", *_SHARD, "home", "shards", "n", "vector", "neighbours", "asking", "asked", "member")
+        .groupBy(*_SHARD, "asking", "asked")
         .applyInArrow(lambda g: _search(g, threshold, width), "class long, links long, with long")
     )
     return stored(searched, "vector-links")

@@ -115,6 +115,27 @@ def test_embedding_shards_lose_no_link(spark, monkeypatch):
     assert sum(found.values()) >= 0.99 * want.sum() and all(found[i] <= want[i] for i in range(len(x)))
 
 
+def test_crowded_embedding_shards_are_cut_without_losing_links(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "SHARD_SIZE", 100)
+    monkeypatch.setattr(embeddings, "CELL_SIZE", 40)
+    rng = np.random.default_rng(8)
+    spots = rng.normal(size=(6, 12))
+    x = np.concatenate([rng.normal(size=(80, 12)), *(spot + rng.normal(size=(n, 12)) * 0.1 for spot, n in zip(spots, (150, 40, 20, 5, 3, 2)))])
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, r.tolist(), 1) for i, r in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = (unit @ unit.T >= 0.98) & ~np.eye(len(x), dtype=bool)
+    root = np.arange(len(x))
+    while True:
+        lower = np.minimum(root, np.where(near, root[None, :], len(x)).min(axis=1))
+        if (lower == root).all():
+            break
+        root = lower
+    rows = {r["vec_id"]: r for r in embeddings.embedding_dedup(df).collect()}
+    assert [rows[i]["n_links"] for i in range(len(x))] == near.sum(axis=1).tolist()
+    assert [rows[i]["component_id"] for i in range(len(x))] == root.tolist()
+
+
 def test_urls(spark):
     pages = [
         (1, "http://A.Example.NET/en/x?q#f", "h"), (2, "http://x.net", "h"), (3, "x.net/en/", "h"), (4, None, None), (5, "", "h"),
