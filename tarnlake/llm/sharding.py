@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 SLOT_BITS = 14
 VIRTUAL_NODES = 64
+#: Rows of a ring slot that one task numbers, about, and copies of a row that go on as one bundle.
+ROWS_PER_TASK = 1_000_000
+COPIES_PER_BUNDLE = 1000
 
 
 def ring_slot(*keys, bits: int = SLOT_BITS):
@@ -79,11 +82,12 @@ def shard_rows(df: DataFrame, key: str, content: str, shards: int = 16, virtual_
     number of shards most rows that need not move stay. Rows that agree in key and content
     share a slot of the ring, and shards cut through slots, so equal rows may part. Repeated
     rows each get a place; other columns pass through, one named ``shard`` or ``slot`` is
-    replaced. An empty table gives an empty result.
+    replaced (and minus zero becomes zero). An empty table gives an empty result.
 
     To the driver comes one count per slot of the ring, ``1 << bits`` at most, and that many
-    rows (and one for each slot a full shard cuts) are broadcast back. The rows themselves
-    are shuffled once, by slot: a slot holds a row in ``1 << bits``.
+    rows (and one for each slot a full shard cuts) are broadcast back. Equal rows are counted
+    before the shuffle and go on in bundles. A slot that holds more than ``ROWS_PER_TASK`` rows,
+    for a key or a row that is repeated that often, is numbered by several tasks.
     """
     spark = df.sparkSession
     own = [c for c in df.columns if c not in ("shard", "slot")]
@@ -93,9 +97,27 @@ def shard_rows(df: DataFrame, key: str, content: str, shards: int = 16, virtual_
     counts = {r["place"]: r["n"] for r in placed.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = allot(counts, ring(spark, shards, virtual_nodes, bits), shards)
     table = spark.createDataFrame(parts, "at int, first long, end long, shard int, before long")
-    in_slot = Window.partitionBy("place").orderBy("name", F.col("row"))
-    numbered = placed.withColumn("n", F.row_number().over(in_slot) - 1)
-    found = numbered.join(
-        F.broadcast(table), (F.col("place") == F.col("at")) & (F.col("n") >= F.col("first")) & (F.col("n") < F.col("end"))
+    tasks = spark.createDataFrame([(place, -(-n // ROWS_PER_TASK)) for place, n in counts.items()], "at int, parts long")
+
+    zero = F.lit(0).cast("long")
+    same = placed.groupBy("place", "name", "row").agg(F.count(F.lit(1)).alias("copies"))
+    bundles = same.withColumn("bundle", F.explode(F.sequence(zero, F.floor((F.col("copies") - 1) / COPIES_PER_BUNDLE))))
+    bundles = (
+        bundles.withColumn("copies", F.least(F.lit(COPIES_PER_BUNDLE), F.col("copies") - F.col("bundle") * COPIES_PER_BUNDLE))
+        .join(F.broadcast(tasks), F.col("place") == F.col("at"))
+        .withColumn("part", F.pmod(F.xxhash64("row", "bundle"), F.col("parts")))
+        .drop("at", "parts")
     )
-    return found.select("row.*", "shard", (F.col("before") + F.col("n") - F.col("first")).alias("slot"))
+    # A row's number in its slot: the rows of the parts ahead, and those before it in its own part.
+    earlier = Window.partitionBy("place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = bundles.groupBy("place", "part").agg(F.sum("copies").alias("rows")).select(
+        "place", "part", F.coalesce(F.sum("rows").over(earlier), zero).alias("ahead")
+    )
+    in_part = Window.partitionBy("place", "part").orderBy("name", "row", "bundle").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = bundles.withColumn("n", F.coalesce(F.sum("copies").over(in_part), zero)).join(ahead, ["place", "part"])
+    numbered = numbered.withColumn("n", F.col("n") + F.col("ahead"))
+    end = F.col("n") + F.col("copies")
+    found = numbered.join(F.broadcast(table), (F.col("place") == F.col("at")) & (F.col("n") < F.col("end")) & (end > F.col("first")))
+    numbers = F.sequence(F.greatest("n", "first"), F.least(end, F.col("end")) - 1)
+    each = found.select("row", "shard", "before", "first", F.explode(numbers).alias("number"))
+    return each.select("row.*", "shard", (F.col("before") + F.col("number") - F.col("first")).alias("slot"))

@@ -235,6 +235,18 @@ def test_sharding(docs, none):
     assert sharding.shard_rows(none, "doc_id", "text").count() == 0
 
 
+def test_a_hot_key_and_a_hot_row_are_numbered_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_TASK", 30)
+    monkeypatch.setattr(sharding, "COPIES_PER_BUNDLE", 7)
+    rows = [(i, f"t{i}") for i in range(200)] + [(1000, "copy")] * 250 + [(2000, f"v{i}") for i in range(151)] + [(None, None)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sharding.shard_rows(df, "doc_id", "text", shards=4).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in found) == sorted((str(i), str(t)) for i, t in rows)
+    slots = [sorted(r["slot"] for r in found if r["shard"] == s) for s in range(4)]
+    assert all(s == list(range(len(s))) for s in slots) and {len(s) for s in slots} == {160, 161}
+    assert sorted(map(str, sharding.shard_rows(df.repartition(5), "doc_id", "text", shards=4).collect())) == sorted(map(str, found))
+
+
 def test_more_shards_move_few_rows(spark):
     df = spark.range(4000).selectExpr("id AS doc_id", "'t' AS text")
     place = lambda n: {r["doc_id"]: r["shard"] for r in sharding.shard_rows(df, "doc_id", "text", shards=n).collect()}
