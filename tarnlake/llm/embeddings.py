@@ -204,15 +204,16 @@ def classes_of(vectors: DataFrame) -> DataFrame:
 def _centroids(classes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
     """Centroids of the labels that need more than one shard, by (label, length), from a sample."""
     sizes = classes.groupBy("label", F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    large = {(r["label"], r["length"]): r["n"] for r in sizes.where(F.col("n") > SHARD_SIZE).collect()}
+    sizes = stored(sizes.where(F.col("n") > SHARD_SIZE), "large-labels")
+    scale = max(1, math.ceil((sizes.agg(F.sum("n")).first()[0] or 0) / SHARD_SIZE / MAX_SHARDS))
+    # Of these there are MAX_SHARDS at most.
+    cut = sizes.where(F.col("n") > SHARD_SIZE * scale)
+    large = {(r["label"], r["length"]): r["n"] for r in cut.collect()}
     if not large:
         return {}
-    total = sum(large.values())
-    scale = max(1, math.ceil(total / SHARD_SIZE / MAX_SHARDS))
-    share = min(1.0, CENTROID_SAMPLE / total)
+    share = min(1.0, CENTROID_SAMPLE / sum(large.values()))
     drawn = classes.where(F.pmod(F.xxhash64(F.lit("centroids"), "key"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    wanted = F.array(*[F.struct(F.lit(k[0]).cast("long"), F.lit(k[1])) for k in large])
-    drawn = drawn.where(F.array_contains(wanted, F.struct(F.col("label").cast("long"), F.size("vector"))))
+    drawn = drawn.withColumn("length", F.size("vector")).join(cut, ["label", "length"], "left_semi")
     rows = drawn.orderBy("key").limit(2 * CENTROID_SAMPLE).select("label", "vector").toArrow()
     labels = rows.column("label").to_numpy()
     lengths = np.array([len(v) for v in rows.column("vector")])
