@@ -7,13 +7,13 @@ Every stage takes all that its predecessor kept. All but the last return the col
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.llm import simhash
 from tarnlake.llm.common import prepare, stored
 from tarnlake.llm.lines import line_dedup
 from tarnlake.llm.mixing import mix
 from tarnlake.llm.packing import pack
 from tarnlake.llm.quality import quality_rules
 from tarnlake.llm.queries import TOKENIZER, table
-from tarnlake.llm.simhash import simhash_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,11 +30,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least id."""
+    """One row of each group of near copies stays, the one with the least id and text digest.
+
+    Null and repeated ids are told apart by row: unlike texts under one id, or under none, all stay.
+    """
     prepare(spark)
-    kept = simhash_dedup(docs).where("kept").select("doc_id").distinct()
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return found.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return simhash.drop_near_copies(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

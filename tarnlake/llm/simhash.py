@@ -13,11 +13,12 @@ shard. A pair therefore meets in a shard where at least one end is at home, and
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import signed, stored, text_pieces, unsigned
@@ -59,16 +60,16 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
     return sum(1 << int(b) for b in np.flatnonzero(2 * ones > len(ends)))
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = 4) -> DataFrame:
-    """(``doc_id``, ``fp``) per row; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(name: Column, text: Column, docs: DataFrame, shingle_words: int = 4) -> DataFrame:
+    """(``name``, ``fp``) per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_pieces(batches, "text"):
             found = np.array([fingerprint(t, shingle_words) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signed(found))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(signed(found))], ["name", "fp"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(name.alias("name"), text.alias("text"))
+    return rows.mapInArrow(run, rows.select("name").schema.add("fp", "long"))
 
 
 class Tree:
@@ -225,6 +226,13 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 4, blocks: int = 3, lea
     return celled.groupBy("tree", "leaf", "i", "j").applyInArrow(link, schema)
 
 
+def _rooted(prints: DataFrame, max_bits: int, leaf_size: int) -> DataFrame:
+    """(``fp``, ``first``, ``root``) per distinct fingerprint: its least name and its component's root."""
+    classes = stored(prints.groupBy("fp").agg(F.min("name").alias("first")), "classes")
+    roots = components(fingerprint_links(classes, max_bits, leaf_size=leaf_size))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_dedup(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -243,15 +251,41 @@ def simhash_dedup(
     part in links and never names a component with ids; a component of null ids alone has a
     null ``component_id``. Repeated rows each get their row. Other columns are not read.
     """
-    prints = stored(fingerprints(docs, id_column, text_column, shingle_words), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = components(fingerprint_links(classes, max_bits, leaf_size=leaf_size))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    prints = stored(fingerprints(F.col(id_column).cast("long"), F.col(text_column), docs, shingle_words), "fingerprints")
+    rooted = _rooted(prints, max_bits, leaf_size)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(of_class, "fp").select(
+    return prints.withColumnRenamed("name", "doc_id").join(of_class, "fp").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()).alias("kept"),
     )
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = 4,
+    max_bits: int = 4,
+    leaf_size: int = 1000,
+) -> DataFrame:
+    """One row of ``docs`` of each component that ``simhash_dedup`` finds, with all its columns.
+
+    Decided by row, not by id: the row that stays has the component's least id, and of the rows
+    with that id the least text digest, then the least other columns. So a row goes only if its
+    fingerprint is linked, over others or directly, to that of the row that stays; an id
+    repeated with unlike texts stays once per component. Ids come before null ids, and a
+    component of null ids alone keeps one row too. The other columns have to be orderable.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_column, text_column)]
+    of_row = [F.col(id_column).isNull(), F.col(id_column), F.sha2(F.col(text_column).cast("binary"), 256), *others]
+    # A row's name: rows that agree in it agree in all columns.
+    name = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(of_row)])
+    prints = stored(fingerprints(name, F.col(text_column), docs, shingle_words), "fingerprints")
+    kept = _rooted(prints, max_bits, leaf_size).groupBy("root").agg(F.min("first").alias("kept")).select("kept.*")
+    named = docs.withColumns({f"__c{i}": c for i, c in enumerate(of_row)})
+    same = [named[f"__c{i}"].eqNullSafe(kept[f"c{i}"]) for i in range(len(of_row))]
+    found = named.join(kept, reduce(Column.__and__, same), "left_semi")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns]).distinct()
