@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.common import SPACE, UPPER, LOWER, mixed, prepare, stored, text_pieces, unsigned
 
-#: Distinct keys of a shard, and probes that one task looks up in it. At the check's sizes a
+#: Distinct keys of a shard, and line hashes that one task looks up in it. At the check's sizes a
 #: shard's arrays take about 2 MB.
 KEYS_PER_SHARD = 100_000
 PROBES_PER_TASK = 500_000
@@ -100,27 +100,28 @@ def line_keys(text: str | None, min_chars: int = MIN_CHARS) -> tuple[list[str],
 
 
 def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(``doc``, ``high``, ``low``): each distinct key of each document as 128 bits."""
+    """(``doc``, ``text_hash``, ``high``, ``low``): each distinct key of each row's text as 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_pieces(batches, "text"):
-            ids, counts, hashes = batch.column("doc").to_numpy(zero_copy_only=False), [], []
+            ids, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "text_hash"))
+            counts, hashes = [], []
             for text in texts:
                 distinct = dict.fromkeys(line_keys(text, min_chars)[1])
                 distinct.pop(None, None)
                 counts.append(len(distinct))
                 hashes.extend(distinct)
             pairs = np.frombuffer(b"".join(hashes), dtype=">i8").astype(np.int64).reshape(-1, 2)
-            columns = [np.repeat(ids, counts), np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "high", "low"])
+            columns = [np.repeat(ids, counts), np.repeat(marks, counts), np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "text_hash", "high", "low"])
 
-    return docs.mapInArrow(run, "doc long, high long, low long")
+    return docs.mapInArrow(run, "doc long, text_hash long, high long, low long")
 
 
 def build_index(hashes: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> tuple[DataFrame, int]:
     """The stored index, one row per shard, and the number of shards.
 
-    (``shard``, ``hash``, ``prints``, ``counts``, ``firsts``, ``probes``). Keys that one
+    (``shard``, ``hash``, ``prints``, ``counts``, ``firsts``). Keys that one
     document alone holds decide nothing and are left out: a probe for one fails its
     fingerprint. Counting combines in each task first, so a line in a third of all documents
     costs a row per task.
@@ -143,20 +144,23 @@ def build_index(hashes: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> tupl
         counts[place] = group.column("n").to_numpy()
         firsts[place] = group.column("first").to_numpy()
         row = {"shard": group.column("shard")[0].as_py(), "hash": table.pack()}
-        row |= {"prints": prints.tobytes(), "counts": counts.tobytes(), "firsts": firsts.tobytes(), "probes": int(counts.sum())}
+        row |= {"prints": prints.tobytes(), "counts": counts.tobytes(), "firsts": firsts.tobytes()}
         return pa.Table.from_pylist([row], schema=_INDEX)
 
     index = shared.withColumn("shard", _shard(shards)).groupBy("shard").applyInArrow(
-        build, "shard int, hash binary, prints binary, counts binary, firsts binary, probes long"
+        build, "shard int, hash binary, prints binary, counts binary, firsts binary"
     )
     return stored(index, "line-index"), shards
 
 
 _INDEX = pa.schema(
-    [("shard", pa.int32()), ("hash", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary()), ("firsts", pa.binary()), ("probes", pa.int64())]
+    [("shard", pa.int32()), ("hash", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary()), ("firsts", pa.binary())]
 )
 
 
+_PROBE = ["doc", "text_hash", "high", "low"]
+
+
 def _shard(shards):
     return F.pmod(F.col("high"), F.lit(shards)).cast("int")
 
@@ -164,7 +168,7 @@ def _shard(shards):
 def _probe(key, probes: pa.Table, index: pa.Table) -> pa.Table:
     """The probes that lose their lines: keys of several documents, of which this is not the first."""
     if not len(index) or not len(probes):
-        return probes.select(["doc", "high", "low"]).slice(0, 0)
+        return probes.select(_PROBE).slice(0, 0)
     row = index.to_pylist()[0]
     table = PerfectHash.unpack(row["hash"])
     prints, counts, firsts = (np.frombuffer(row[c], t) for c, t in (("prints", "<u8"), ("counts", "<i8"), ("firsts", "<i8")))
@@ -172,7 +176,43 @@ def _probe(key, probes: pa.Table, index: pa.Table) -> pa.Table:
     place = table.index(high, low)
     known = (place >= 0) & (prints[place] == low)
     lost = known & (counts[place] >= 2) & (firsts[place] != probes.column("doc").to_numpy())
-    return probes.select(["doc", "high", "low"]).filter(pa.array(lost))
+    return probes.select(_PROBE).filter(pa.array(lost))
+
+
+def dealt_probes(hashes: DataFrame, index: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """All line hashes, unique ones too, and the index, dealt into parts (``shard``, ``part``) that belong together.
+
+    A shard has as many parts, and copies of its arrays, as all its line hashes make up by
+    ``PROBES_PER_TASK``. Hashes are dealt in turn of the stored rows, not by document, so no
+    id, null id or repeated text fills a part. The numbers of parts are broadcast: 12 bytes
+    for ``KEYS_PER_SHARD`` repeated lines.
+    """
+    sharded = hashes.withColumn("shard", _shard(shards))
+    count = F.count(F.lit(1))
+    parts = sharded.groupBy("shard").agg(F.ceil(count / PROBES_PER_TASK).alias("parts")).join(index.select("shard"), "shard", "left_semi")
+    parts = stored(parts, "line-parts")
+    probes = sharded.withColumn("turn", F.xxhash64(F.monotonically_increasing_id())).join(F.broadcast(parts), "shard")
+    probes = probes.select("shard", F.pmod("turn", "parts").alias("part"), *_PROBE)
+    copies = index.join(F.broadcast(parts), "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return probes, copies.drop("parts")
+
+
+def lost_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(``doc``, ``text_hash``, ``lost``): the line keys that each distinct row of ``texts`` loses.
+
+    A null or repeated id holds many texts; each has its own row here, with its own keys only.
+    Should two texts of an id agree in ``text_hash``, they share a row and nothing changes:
+    whether a key is lost depends on the id and the key alone.
+    """
+    hashes = stored(line_hashes(texts, min_chars), "line-hashes")
+    probes, copies = dealt_probes(hashes, *build_index(hashes))
+    return (
+        probes.groupBy("shard", "part")
+        .cogroup(copies.groupBy("shard", "part"))
+        .applyInArrow(_probe, "doc long, text_hash long, high long, low long")
+        .groupBy("doc", "text_hash")
+        .agg(F.collect_set(F.struct("high", "low")).alias("lost"))
+    )
 
 
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -189,26 +229,12 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     spark = prepare(docs.sparkSession)
     doc = F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID))
-    texts = docs.select(doc.alias("doc"), F.col(text_column).alias("text"))
-    hashes = stored(line_hashes(texts, min_chars), "line-hashes")
-    index, shards = build_index(hashes)
-    # As many copies of a shard's arrays as it has probes for; the copies go to other tasks.
-    # The numbers of copies are broadcast: 12 bytes for KEYS_PER_SHARD repeated lines.
-    parts = index.select("shard", F.ceil(F.col("probes") / PROBES_PER_TASK).alias("parts"))
-    dealt = hashes.withColumn("shard", _shard(shards)).join(F.broadcast(parts), "shard")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts"))).drop("parts")
-    copies = index.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-    lost = (
-        dealt.groupBy("shard", "part")
-        .cogroup(copies.groupBy("shard", "part"))
-        .applyInArrow(_probe, "doc long, high long, low long")
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("high", "low")).alias("lost"))
-    )
+    named = [doc.alias("doc"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text")]
+    lost = lost_lines(docs.select(*named), min_chars)
     made = ("n_lines", "n_dropped", "kept_text")
     own = [c for c in docs.columns if c not in made]
     row = F.struct(*[F.col(f"`{c}`") for c in own]).alias("row")
-    marked = docs.select(doc.alias("doc"), F.col(text_column).alias("text"), row).join(lost, "doc", "left")
+    marked = docs.select(*named, row).join(lost, ["doc", "text_hash"], "left")
     kept = marked.select("text", "lost", "row").mapInArrow(
         _render(min_chars), marked.select("row").schema.add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
     )
