@@ -18,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Ranks are cut into so many ranges per source; only the range in which a source's words
 #: run out is sorted. It holds a few thousandths of the source at most.
 RANK_BINS = 4096
+#: Equal rows of a step taken in part that one task writes at a time.
+COPIES_PER_BUNDLE = 1000
 
 
 def word_count(column) -> Column:
@@ -74,7 +76,8 @@ def mix(
     shift copies between the documents of a source (default: all alike).
 
     Runs agree: the random number comes from the id (from the text where the id is null).
-    Rows that agree in that and in size are taken alike. A null source is a source. A source
+    Rows that agree in that and in size are one step of the order; where the words run out, as
+    many rows of the step are taken as fit, by a digest of their columns, and one row closes. A null source is a source. A source
     without words has target 0 and no copies of its rows. Other columns pass through; one
     named like a result is replaced. An empty table gives an empty result.
     """
@@ -130,24 +133,27 @@ def mix(
     at_edge = placed.alias("p").join(
         edges.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source")) & (F.col("p.bin") == F.col("e.bin"))
     ).select("p.source", "rank", "size", "before", "wanted", F.lit(1).alias("one"))
-    # Equal ranks are one step, taken together or not at all.
+    # Rows of equal rank and size are one step. The first step that does not fit whole is the cut;
+    # ``m`` of its ``k`` rows fit.
     steps = at_edge.groupBy("source", "rank", "size", "before", "wanted").agg(F.sum("one").alias("rows"))
     in_order = Window.partitionBy("source").orderBy("rank", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = F.col("before") + F.sum(F.col("size") * F.col("rows")).over(in_order)
-    fits = F.col("reached") <= F.col("wanted")
+    room = F.greatest(F.floor("wanted") - (F.col("reached") - F.col("size") * F.col("rows")), F.lit(0))
+    m = F.floor(room / F.col("size"))
+    gap = F.col("wanted") - (F.col("reached") - F.col("size") * (F.col("rows") - m))
     cuts = (
         steps.withColumn("reached", reached)
+        .where(F.col("reached") > F.col("wanted"))
         .groupBy("source")
-        .agg(
-            F.max(F.when(fits, F.struct("rank", "size"))).alias("cut"),
-            F.min(F.struct("rank", "size")).alias("first"),
-            (F.first("wanted") - F.coalesce(F.max(F.when(fits, F.col("reached"))), F.first("before"))).alias("gap"),
-        )
+        .agg(F.min(F.struct("rank", "size", F.col("rows").alias("k"), m.alias("m"), gap.alias("gap"))).alias("found"))
+        .select("source", F.struct("found.rank", "found.size").alias("cut"), "found.k", "found.m", "found.gap")
     )
-    # What the words up to the target still lack, one more document makes up for best.
+    cuts = stored(cuts, "cut-steps")
+    # What the words up to the target still lack, one more document makes up for best: one row of
+    # the step that comes nearest.
     here = F.struct("rank", "size")
     cut_rows = placed.alias("p").join(cuts.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")))
-    behind = F.col("rank").isNotNull() & F.when(F.col("cut").isNull(), here >= F.col("first")).otherwise(here > F.col("cut"))
+    behind = F.col("rank").isNotNull() & (here >= F.col("cut"))
     off = F.abs(F.col("size") - F.col("gap"))
     closing = (
         cut_rows.where(behind & (off < F.col("gap")))
@@ -155,24 +161,74 @@ def mix(
         .agg(F.min(F.struct(off.alias("off"), "rank", "size")).alias("closing"))
         .select("source", F.struct("closing.rank", "closing.size").alias("closing"))
     )
+    closing = stored(closing, "closing")
+    closing_rows = (
+        placed.alias("p")
+        .join(closing.alias("k"), F.col("p.source").eqNullSafe(F.col("k.source")) & (here == F.col("closing")))
+        .groupBy("p.source", "closing")
+        .agg(F.count(F.lit(1)).alias("closing_k"))
+    )
+    both = F.col("cut") == F.col("closing")
     facts = stored(
         sources.alias("a")
         .join(cuts.alias("c"), F.col("a.source").eqNullSafe(F.col("c.source")), "left")
-        .join(closing.alias("k"), F.col("a.source").eqNullSafe(F.col("k.source")), "left")
-        .select(F.col("a.source").alias("__s"), "source_size", "weighted", "target", "cut", "first", "closing"),
+        .join(closing_rows.alias("k"), F.col("a.source").eqNullSafe(F.col("k.source")), "left")
+        .select(
+            F.col("a.source").alias("__s"), "source_size", "weighted", "target", "cut", "k", "closing", "closing_k",
+            (F.col("m") + F.when(both, 1).otherwise(0)).alias("m"),
+        ),
         "cuts",
-    )
+    )
     inner = rows.select(
         F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), "size", "__source",
         F.col("__random").alias("random"), F.col("__weight").alias("weight"),
     )
     joined = ranked(inner.join(facts, F.col("__source").eqNullSafe(F.col("__s")), "left"))
-    in_front = F.when(F.col("first").isNull(), True).when(F.col("cut").isNull(), here < F.col("first")).otherwise(here <= F.col("cut"))
-    chosen = F.col("rank").isNotNull() & (F.col("source_size") > 0) & (in_front | here.eqNullSafe(F.col("closing")))
-    copies = F.col("certain") + F.when(chosen, 1).otherwise(0)
-    return joined.select(
-        "row.*", "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).cast("long").alias("taken")
+    # Of so many rows of a step, so many are taken: nulls where all are, or none.
+    at_cut = F.coalesce(here == F.col("cut"), F.lit(False))
+    at_closing = F.coalesce(here == F.col("closing"), F.lit(False)) & ~at_cut
+    of = F.when(at_cut, F.col("k")).when(at_closing, F.col("closing_k"))
+    take = F.when(at_cut, F.col("m")).when(at_closing, F.lit(1))
+    split = F.col("rank").isNotNull() & F.coalesce((take > 0) & (take < of), F.lit(False))
+    whole_step = F.when(F.col("cut").isNull() | (here < F.col("cut")), True).otherwise(F.coalesce(take == of, F.lit(False)))
+    chosen = F.col("rank").isNotNull() & (F.col("source_size") > 0) & whole_step
+
+    def result(df, copies):
+        words = F.col("size") * copies
+        return df.select("row.*", "size", "source_size", "target", copies.cast("long").alias("copies"), words.cast("long").alias("taken"))
+
+    plain = result(joined.where(~split), F.col("certain") + F.when(chosen, 1).otherwise(0))
+    if facts.where(((F.col("m") > 0) & (F.col("m") < F.col("k"))) | ((F.col("cut") != F.col("closing")) & (F.col("closing_k") > 1))).isEmpty():
+        return plain  # no step is taken in part
+    return plain.unionAll(result(_part_of(joined.withColumns({"of": of, "take": take}).where(split)), F.col("certain") + F.col("more")))
+
+
+def _part_of(rows: DataFrame) -> DataFrame:
+    """Rows of steps that are taken in part, with ``more`` 1 for ``take`` rows of each step, else 0.
+
+    Rows that agree in all columns are counted and counted only, so that a row repeated without
+    end needs no numbers; unlike rows of a step are in order of their digest.
+    """
+    step = ["__source", "rank", "size"]
+    digest = F.sha2(F.to_json("row"), 256).alias("digest")
+    alike = stored(
+        rows.groupBy(*step, digest).agg(
+            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("row", "source_size", "target", "certain", "take")]
+        ),
+        "alike-rows",
+    )
+    earlier = Window.partitionBy(*step).orderBy("digest").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.greatest(F.least(F.col("take") - F.coalesce(F.sum("n").over(earlier), F.lit(0)), F.col("n")), F.lit(0))
+    numbered = alike.select(*step, "digest", own.alias("own")).withColumnsRenamed({"__source": "s", "rank": "r", "size": "z", "digest": "d"})
+    same = F.col("__source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")) & (F.col("size") == F.col("z")) & (F.col("digest") == F.col("d"))
+    # Bundles of a bounded number of rows, written by several tasks.
+    bundles = (
+        alike.join(numbered, same)
+        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES_PER_BUNDLE).cast("long"))))
+        .repartition("digest", "start")
     )
+    last = F.least(F.col("start") + COPIES_PER_BUNDLE, F.col("n")) - 1
+    return bundles.withColumn("at", F.explode(F.sequence("start", last))).withColumn("more", F.when(F.col("at") < F.col("own"), 1).otherwise(0))
 
 
 ORACLE = f"""
