@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tarnlake.sources.tables import append_table
+from tarnlake.sources.tables import append_table, read_table
 
 PROGRESS = "query_id string, batch_id long, row_count long, seconds double"
 
@@ -40,6 +40,10 @@ class ProgressLog(StreamingQueryListener):
         self.spark, self.target, self.batches_per_write = spark, target, batches_per_write
         self.waiting = []
 
+    def rows(self) -> DataFrame:
+        """What is written so far: all micro-batches once the log is closed."""
+        return read_table(self.spark, self.target, PROGRESS)
+
     def flush(self):
         rows, self.waiting = self.waiting, []
         if rows:

@@ -45,6 +45,7 @@ from tarnlake.sources import (
     write_delimited,
 )
 from tarnlake.streaming import (
+    ProgressLog,
     BatchStore,
     cut_for_replay,
     drain,
@@ -456,9 +457,14 @@ def stream_paced_replay(spark, d):
 def stream_replay_pace(spark, d):
     """All events sent, so many rows at a time; batches above that are counted."""
     events, pace = table(spark, d, "events"), 5000
-    sent = replay(cut_for_replay(events, pace), work_folder(spark, "replayed"), work_folder(spark, "progress"), "0 seconds")
-    return progress_rows(spark, finish(sent)).agg(
-        F.sum("row_count").cast("long").alias("rows_sent"),
+    log = ProgressLog(spark, work_folder(spark, "pace"))
+    spark.streams.addListener(log)
+    try:
+        sent = finish(replay(cut_for_replay(events, pace), work_folder(spark, "replayed"), work_folder(spark, "progress"), "0 seconds"))
+    finally:
+        log.close()
+    return log.rows().where(F.col("query_id") == sent.id).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).cast("long").alias("rows_sent"),
         F.count_if(F.col("row_count") > pace).alias("batches_above_pace"),
     )
 
