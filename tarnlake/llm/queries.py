@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, embeddings, licenses, lines, mixing, packing, quality, sharding, simhash, urls
+from tarnlake.llm import chat, embeddings, licenses, lines, manifest, mixing, packing, quality, runs, sharding, simhash, topk, urls
 from tarnlake.llm.common import prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +81,57 @@ def op10_preference_format(spark, d):
     )
 
 
+def op11_exact_topk(spark, d):
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Texts of the documents whose id's CRC-32 is a multiple of 10 repeat a stretch from some word on."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    words, n, g = F.col("words"), F.size("words"), F.floor(crc / 10)
+    tail = F.struct(F.pmod(g, n).cast("int").alias("a"), words.alias("words"))
+    period = lambda s: (1 + F.floor((n - s["a"]) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    place = lambda s, i: F.when(i < s["a"], i).otherwise(s["a"] + F.pmod(i - s["a"], period(s)))
+    repeated = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(tail, i))), " ")
+    split = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    some = docs.where(F.pmod(crc, F.lit(10)) == 0).withColumn("words", split)
+    whole = docs.where(F.coalesce(F.pmod(crc, F.lit(10)) != 0, F.lit(True)))
+    return whole.unionAll(some.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text")))
+
+
+def op12_word_runs(spark, d):
+    found = runs.word_runs(planted(table(spark, d, "documents").select("doc_id", "text")))
+    row = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines_of_runs = F.array_join(F.transform(row, lambda r: F.concat(r, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(lines_of_runs, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = manifest.leaf_digest("doc_id", "source", "lang", F.col("n_chars").cast("decimal(20,0)") + 1, "text")
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    rows = manifest.merkle_manifest(docs, carry={"tampered": F.when(chosen, tampered)})
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), "proof")
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest("proof").alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +145,15 @@ QUERIES = {
         op8_sharding,
         op9_quality_rules,
         op10_preference_format,
+        op11_exact_topk,
+        op12_word_runs,
+        op13_merkle_manifest,
     )
 }
-ORACLES = {"op2_line_dedup": lines.ORACLE, "op6_source_mix": mixing.ORACLE, "op10_preference_format": chat.ORACLE}
+ORACLES = {
+    "op2_line_dedup": lines.ORACLE,
+    "op6_source_mix": mixing.ORACLE,
+    "op10_preference_format": chat.ORACLE,
+    "op11_exact_topk": topk.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
+}

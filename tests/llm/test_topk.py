@@ -1,0 +1,91 @@
+"""Exact top-k search against all inner products."""
+
+import math
+
+import numpy as np
+import pytest
+
+from tarnlake.llm import topk
+from tarnlake.llm.common import prepare
+
+ROWS = "vec_id long, embedding array<float>, rank int, score string, shard string"
+
+
+def brute(rows, queries, k):
+    out = []
+    usable = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
+    number = lambda v: [math.floor(1024 * float(np.float32(x))) for x in v]
+    known = [(r[0], number(r[1])) for r in rows if usable(r[1])]
+    for query_id, vector, *_ in queries:
+        if not usable(vector):
+            continue
+        q = number(vector)
+        found = [(sum(a * b for a, b in zip(q, v)), i) for i, v in known if len(v) == len(q) and (i is None or i != query_id)]
+        found.sort(key=lambda f: (-f[0], f[1] is None, f[1]))
+        out += [(query_id, rank, i, score) for rank, (score, i) in enumerate(found[:k], 1)]
+    return sorted(out, key=str)
+
+
+def found(vectors, queries, k):
+    return sorted((tuple(r) for r in topk.top_k(vectors, queries, k).collect()), key=str)
+
+
+def table(spark, rows):
+    return prepare(spark).createDataFrame([(*r, 1, "s", "t") for r in rows], ROWS)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [0.5, -0.25, i / 64.0]) for i in range(40)]
+    rows += [(3, [0.5, -0.25, 3 / 64.0]), (None, [0.9, 0.9, 0.9]), (None, [0.9, 0.9, 0.9]), (100, None), (101, [nan, 1.0, 1.0]), (102, [inf, 1.0, 1.0])]
+    rows += [(103, [None, 1.0, 1.0]), (104, [0.0, -0.0, 0.0]), (105, []), (106, []), (107, [1.0]), (108, [-7.0]), (109, [0.1] * 5)]
+    queries = [rows[3], rows[3], (None, [0.9, 0.9, 0.9]), (100, None), (105, []), (107, [1.0]), (500, [-0.001, 0.3, 0.0]), (104, [0.0, -0.0, 0.0]), (9, [1.0, 2.0])]
+    assert found(table(spark, rows), table(spark, queries), 10) == brute(rows, queries, 10)
+    assert found(table(spark, rows), table(spark, []), 10) == found(table(spark, []), table(spark, rows), 10) == []
+    assert found(table(spark, rows[:3]), table(spark, rows[:3]), 10) == brute(rows[:3], rows[:3], 10)
+
+
+@pytest.mark.parametrize("shape", ["random", "copies", "large numbers", "sparse"])
+def test_many_rows_over_several_shards(spark, monkeypatch, shape):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 300)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 20)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1500, 12)).astype(np.float32)
+    if shape == "copies":
+        x[200:700] = x[3]
+        x[900:1200] = -x[5]
+    if shape == "large numbers":
+        x *= np.float32(2.0**17)
+    if shape == "sparse":
+        x[rng.random(x.shape) < 0.8] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    queries = rows[::30]
+    assert found(table(spark, rows), table(spark, queries), 7) == brute(rows, queries, 7)
+
+
+@pytest.mark.parametrize("k", [1, 10, 3000])
+def test_blocks_and_bounds_of_a_shard(k):
+    rng = np.random.default_rng(k)
+    x = np.floor(rng.normal(size=(2500, 16)) * 50)
+    x[500:900] = x[4]
+    query_ids = np.arange(0, 2500, 250)
+    q = x[query_ids]
+    query, row, _, score = topk.shard_top_k(x, np.arange(len(x)), q, query_ids, k)
+    for i, own in enumerate(query_ids):
+        every = x @ q[i]
+        want = sorted((-every[j], j) for j in range(len(x)) if j != own)[:k]
+        assert [(-s, r) for s, r in zip(score[query == i], row[query == i])] == want
+
+
+def test_reading_bounds_hold_at_every_depth():
+    rng = np.random.default_rng(0)
+    x, q = rng.normal(size=(200, 8)), rng.normal(size=(5, 8))
+    both = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1)
+    lists, true = topk.Lists(x), q @ x.T
+    widths = []
+    while lists.depth < len(x):
+        lists.read()
+        upper, lower = both @ lists.upper.T, both @ lists.lower.T
+        assert (upper >= true - 1e-9).all() and (lower <= true + 1e-9).all()
+        widths.append((upper - lower).mean())
+    assert widths == sorted(widths, reverse=True) and np.allclose(upper, true) and np.allclose(lower, true)
