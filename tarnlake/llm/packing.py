@@ -10,6 +10,8 @@ of two, which need no padding.
 
 import json
 import re
+import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +26,8 @@ CAPACITY = 4096
 END_ID = 2
 #: Open windows of a task, which bounds its memory to 16 MB of ids.
 MAX_OPEN = 1024
-#: Words and pieces whose ids a worker remembers.
-CACHED_WORDS = 400_000
+#: Pieces of words whose ids a worker remembers.
+CACHED_PIECES = 800_000
 #: Texts are taken in stretches of about so many characters.
 STRETCH = 1 << 20
 #: Sequences are numbered from this multiple of the partition's number.
@@ -33,14 +35,24 @@ PARTITION_STEP = 1 << 33
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_length long, ids binary"
 
-# How the tokenizer file cuts text. Where a file says just this, a word of plain
+# How the tokenizer file cuts text. Where a file says just this, a text of plain
 # letters and signs can be cut here and only its pieces need the tokenizer's merges.
 _CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-_PLAIN = re.compile(r"[!-~¡-¬®-ˁ]+")
+_PLAIN = "!-~¡-¬®-ˁ"
+_plain_text = re.compile(f"[{_PLAIN} \t\n\x0b\f\r]*").fullmatch
+_words = re.compile(r"[^ \t\n\x0b\f\r]+").findall
 _SPACE = re.compile(r"[ \t\n\x0b\f\r]")
 
 
+def _cut_plain():
+    """``_CUTS`` for lower-cased plain text; the letters come first, as nothing else begins with one."""
+    plain = filter(re.compile(f"[{_PLAIN}]").match, map(chr, range(0x2C2)))
+    lower = sorted({c for p in plain for c in p.lower()})
+    letters, numbers = ("".join(c for c in lower if unicodedata.category(c)[0] == kind) for kind in "LN")
+    return re.compile(rf"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^\s{letters}{numbers}]+").findall
+
+
 class _Remembered(dict):
     """A dict that makes what is missing and starts anew when it is full."""
 
@@ -49,7 +61,7 @@ class _Remembered(dict):
         self.make = make
 
     def __missing__(self, key):
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= CACHED_PIECES:
             self.clear()
         self[key] = made = self.make(key)
         return made
@@ -58,14 +70,13 @@ class _Remembered(dict):
 class Encoder:
     """Token ids of texts, as little-endian 32-bit numbers, the same as the tokenizer's own.
 
-    The tokenizer never joins what white space parts, so each distinct word is encoded once
-    and remembered. Words of plain letters and signs skip the normaliser, which leaves them
-    as they are but for case; all others, and texts that spell a special token, go through
-    the whole tokenizer.
+    The tokenizer merges inside the pieces only into which it cuts a text, so each distinct
+    piece is encoded once and remembered. Texts of plain letters and signs are cut here; they
+    skip the normaliser, which leaves them as they are but for case. Words with other
+    characters, and those that spell a special token, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -75,22 +86,28 @@ class Encoder:
         cuts = (pre.get("pretokenizers") or [{}])[0]
         if [n["type"] for n in normalizer.get("normalizers", [])] != _NORMALIZERS or cuts.get("pattern", {}).get("Regex") != _CUTS:
             raise ValueError(f"{path}: this tokenizer does not cut at white space as the packing relies on")
-        self.specials = [t["content"] for t in facts.get("added_tokens", [])]
-        self.cut = regex.compile(_CUTS).findall
+        specials = [t["content"] for t in facts.get("added_tokens", [])]
+        self.special = re.compile("|".join(map(re.escape, specials)) or r"(?!)").search
+        self.cut = _cut_plain()
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = _Remembered(lambda c: level.pre_tokenize_str(c)[0][0])
+        self.merge = self.tokenizer.model.tokenize
         self.pieces = _Remembered(self._piece)
         self.words = _Remembered(self._word)
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))
-        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
+        # The printable ASCII characters stand for their own bytes.
+        tokens = self.merge(piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece)))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut(text.lower())))
 
-    def _word(self, utf8: bytes) -> bytes:
-        word = utf8.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(word) and not any(s in word for s in self.specials):
-            return b"".join(map(self.pieces.__getitem__, self.cut(word.lower())))
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        if _plain_text(word) and not self.special(word):
+            return self._plain(word)
+        ids = self.tokenizer.encode(word.encode("utf-8", "surrogatepass").decode("utf-8", "replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text, taken stretch by stretch; cuts fall on white space only."""
@@ -98,8 +115,11 @@ class Encoder:
         while start < len(text):
             space = _SPACE.search(text, start + STRETCH)
             end = space.start() if space else len(text)
-            found = text[start:end].encode("utf-8", "surrogatepass").split()
-            out.append(b"".join(map(self.words.__getitem__, found)))
+            stretch = text[start:end]
+            if _plain_text(stretch) and not self.special(stretch):
+                out.append(self._plain(stretch))
+            else:
+                out.append(b"".join(map(self.words.__getitem__, _words(stretch))))
             start = end
         return b"".join(out)
 
