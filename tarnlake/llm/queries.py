@@ -95,9 +95,9 @@ def planted(docs: DataFrame) -> DataFrame:
     place = lambda s, i: F.when(i < s["a"], i).otherwise(s["a"] + F.pmod(i - s["a"], period(s)))
     repeated = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(tail, i))), " ")
     split = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    some = docs.where(F.pmod(crc, F.lit(10)) == 0).withColumn("words", split)
-    whole = docs.where(F.coalesce(F.pmod(crc, F.lit(10)) != 0, F.lit(True)))
-    return whole.unionAll(some.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text")))
+    # The words of the other documents stay null: their texts are not cut.
+    some = docs.withColumn("words", F.when(F.pmod(crc, F.lit(10)) == 0, split))
+    return some.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text"))
 
 
 def op12_word_runs(spark, d):
