@@ -18,13 +18,22 @@ from tarnlake.sources import (
     read_delimited,
     read_table,
 )
-from tarnlake.streaming import BatchStore, ProgressLog, cut_for_replay, drain, finish, ingest, replay
+from tarnlake.streaming import BatchStore, ProgressLog, cut_for_replay, drain, finish, ingest, publish_ledger, replay
 
 
 def create_tables(spark, args):
     create_schema_if_absent(spark, args.schema, args.location)
-    for name, schema in (("samples", SAMPLES), ("sites", SITES), ("methods", METHODS), ("ledger", LEDGER)):
+    empty = {"sites": SITES, "methods": METHODS} | ({} if args.store else {"samples": SAMPLES, "ledger": LEDGER})
+    for name, schema in empty.items():
         create_table_if_absent(spark, f"{args.schema}.{name}", schema)
+    if args.store:
+        publish(spark, argparse.Namespace(store=args.store, table=f"{args.schema}.samples", ledger=f"{args.schema}.ledger"))
+
+
+def publish(spark, args):
+    store = BatchStore(args.store)
+    publish_ledger(spark, store, args.ledger)
+    store.publish(spark, args.table, SAMPLES)
 
 
 def replay_rows(spark, args):
@@ -47,7 +56,7 @@ def ingest_messages(spark, args):
     if log:
         spark.streams.addListener(log)
     try:
-        drain(ingest(messages, SAMPLES, BatchStore(args.store), args.checkpoint, interval=args.interval), args.timeout)
+        drain(ingest(messages, SAMPLES, BatchStore(args.store), args.checkpoint, interval=args.interval, published=args.table), args.timeout)
     finally:
         if log:
             log.close()
@@ -57,6 +66,20 @@ def compact_ledger(spark, args):
     BatchStore(args.store).compact_ledger(spark)
 
 
+def compact(spark, args):
+    store = BatchStore(args.store)
+    folded = store.compact(spark, SAMPLES, file_bytes=args.file_mb << 20)
+    store.compact_ledger(spark)
+    if args.table:
+        store.publish(spark, args.table, SAMPLES)
+    removed = store.vacuum(spark, args.grace_hours * 3600)
+    print(f"{folded} batches folded, {len(removed)} folders removed")
+
+
+def rollback(spark, args):
+    print(f"{BatchStore(args.store).rollback(spark, args.version)} batches withdrawn")
+
+
 def load_dimensions(spark, args):
     load_dimension(spark, args.methods_file, METHODS, args.methods, end_year_column="END_YEAR")
     load_dimension(spark, args.sites_file, SITES, args.sites)
@@ -68,10 +91,9 @@ def report(spark, args):
     ledger = store.ledger(spark)
     assert_not_empty(ledger, "ledger")
     result = build_report(
-        store.table(spark, SAMPLES).select(*SAMPLE_COLUMNS),
+        store.latest_slice(spark, SAMPLES, "DATE_SMP").select(*SAMPLE_COLUMNS),
         read_table(spark, args.sites),
         read_table(spark, args.methods).select(*METHOD_COLUMNS),
-        ledger,
         collapse_samples=not args.all_samples,
         spread=int(args.spread),
     )
@@ -98,17 +120,21 @@ def parser():
         for option in required:
             sub.add_argument(f"--{option}", required=True)
         for option, default in optional.items():
-            kind = int if option in ("timeout", "files_per_batch", "rows_per_batch", "messages_per_batch") else str
+            kind = int if option in ("timeout", "files_per_batch", "rows_per_batch", "messages_per_batch", "file_mb", "grace_hours") else str
             sub.add_argument(f"--{option.replace('_', '-')}", default=default, type=kind)
         return sub
 
     stream = {"servers": None, "interval": None, "timeout": None}
-    job("create-tables", create_tables, "schema", location=None).description = (
-        "Make empty catalog tables; load-dimensions and report take their names in place of folders."
+    job("create-tables", create_tables, "schema", location=None, store=None).description = (
+        "Make empty catalog tables; load-dimensions and report take their names in place of folders. "
+        "With a store, its batches and its ledger can be queried as samples and ledger."
     )
+    job("publish", publish, "store", "table", "ledger")
+    job("compact", compact, "store", table=None, file_mb=128, grace_hours=24)
+    job("rollback", rollback, "store", "version")
     job("clean", clean, "source", "target", sep=";")
     job("replay", replay_rows, "source", "target", "checkpoint", sep=",", files_per_batch=None, rows_per_batch=None, **stream)
-    job("ingest", ingest_messages, "source", "store", "checkpoint", progress=None, messages_per_batch=None, **stream)
+    job("ingest", ingest_messages, "source", "store", "checkpoint", progress=None, messages_per_batch=None, table=None, **stream)
     job("compact-ledger", compact_ledger, "store")
     job("load-dimensions", load_dimensions, "methods-file", "sites-file", "methods", "sites")
     job("report", report, "store", "sites", "methods", "joined", "metrics", reconciliation=None, spread="1").add_argument(

@@ -8,6 +8,8 @@ from tarnlake.functions.text import batch_label, trailing_number
 # Root folder, year of the batch's first date (or UNKNOWN_YEAR), batch number.
 SNAPSHOT_FOLDER = "%s/year=%s/batch_id=%s"
 UNKNOWN_YEAR = "unknown"
+# Where folders of many batches are, below the rows' folder; their files tell batches apart by a column.
+FOLDED = "/_folded/"
 
 
 def ledger_rows(df: DataFrame, batch_column: str, date_column: str, snapshot_root: str) -> DataFrame:

@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Of a folder that is being replaced, until its successor is in place.
+REPLACED = "._replaced-"
 
 # One reduce task should see about this much compressed input.
 BYTES_PER_SHUFFLE_PARTITION = 128 << 20
@@ -90,6 +92,52 @@ def delete_files(spark: SparkSession, paths: list[str]) -> None:
         fs.delete(hadoop_path, False)
 
 
+def folders_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with ``*``, on any file system Spark can read."""
+    fs, hadoop_path = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(hadoop_path) or []]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, hadoop_path = _file_system(spark, path)
+        fs.delete(hadoop_path, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written folder in the place of another, which stays until then.
+
+    Between its two renames the target is absent for a moment; ``recover_folder`` brings the old
+    one back should the driver end just there.
+    """
+    fs, target_path = _file_system(spark, target)
+    old = f"{target.rstrip('/')}{REPLACED}{uuid.uuid4().hex[:12]}"
+    had_one = fs.exists(target_path)
+    if had_one:
+        move_folder(spark, target, old)
+    try:
+        move_folder(spark, source, target)
+    except Exception:
+        if had_one:
+            move_folder(spark, old, target)
+        raise
+    if had_one:
+        delete_folders(spark, [old])
+
+
+def recover_folder(spark: SparkSession, target: str) -> None:
+    """Bring back what an unfinished ``replace_folder`` has set aside."""
+    fs, target_path = _file_system(spark, target)
+    if not fs.exists(target_path):
+        for old in folders_like(spark, f"{target.rstrip('/')}{REPLACED}*")[:1]:
+            move_folder(spark, old, target)
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared storage named by ``spark.checkpoint.dir``.
 

@@ -3,16 +3,21 @@
 A target that holds a ``/`` is a folder, any other a catalog table.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarnlake.functions.text import trailing_number
+from tarnlake.operators.batches import FOLDED
+from tarnlake.session import delete_folders, recover_folder, replace_folder
 
 
 def read_table(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame:
     if "/" not in target:
         return spark.table(target)
+    recover_folder(spark, target)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(target)
 
@@ -27,7 +32,31 @@ def append_table(df: DataFrame, target: str) -> None:
 
 
 def overwrite_table(df: DataFrame, target: str) -> None:
-    _write(df, target, "overwrite")
+    """Replace a table's rows; a write that fails leaves the old ones, and ``df`` may read the table itself.
+
+    The new rows are written aside and take the table's place when they are complete: a folder
+    by renaming, a catalog table by its name. A reader that listed the old files just before has
+    to start again.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
+    if "/" in target:
+        aside = f"{target.rstrip('/')}._aside-{mark}"
+        try:
+            df.write.parquet(aside)
+            recover_folder(spark, target)
+            replace_folder(spark, aside, target)
+        finally:
+            delete_folders(spark, [aside])
+        return
+    if not spark.catalog.tableExists(target):
+        return _write(df, target, "error")
+    aside = f"{target}_aside_{mark}"
+    try:
+        _write(df, aside, "error")
+        spark.sql(f"DROP TABLE {target}")
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
 
 
 def overwrite_batch(df: DataFrame, folder: str, batch_id, column: str = "batch_id") -> str:
@@ -77,7 +106,11 @@ def read_snapshot(
         rows = ledger.filter(F.col("version_id") == version_id)
     else:
         rows = ledger.orderBy(trailing_number("version_id").desc_nulls_last())
-    row = rows.select("snapshot_path").first()
+    row = rows.select("snapshot_path", "version_id").first()
     if row is None:
         raise LookupError(f"no version {version_id or 'at all'} in the ledger")
-    return read_table(spark, row["snapshot_path"], schema)
+    if FOLDED not in row["snapshot_path"]:
+        return read_table(spark, row["snapshot_path"], schema)
+    folded = read_table(spark, row["snapshot_path"], StructType([*schema.fields]).add("batch_id", "integer") if schema else None)
+    number = int(row["version_id"].rpartition("_")[2])
+    return folded.where(F.col("batch_id") == number).drop("batch_id")

@@ -1,8 +1,9 @@
 """Streams of messages into stored batches."""
 
-from tarnlake.streaming.ingest import BatchStore, drain, finish, ingest, parse_messages, store_batch
+from tarnlake.streaming.ingest import drain, finish, ingest, parse_messages
 from tarnlake.streaming.progress import ProgressLog, progress_rows
 from tarnlake.streaming.replay import cut_for_replay, replay
+from tarnlake.streaming.store import BatchStore, publish_ledger, store_batch, store_batches
 
 __all__ = [
     "BatchStore",
@@ -13,6 +14,8 @@ __all__ = [
     "ingest",
     "parse_messages",
     "progress_rows",
+    "publish_ledger",
     "replay",
     "store_batch",
+    "store_batches",
 ]

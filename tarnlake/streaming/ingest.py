@@ -1,29 +1,18 @@
 """Parse a message stream and store every micro-batch once.
 
-A batch leaves a folder of rows and a ledger row. Every try of a batch writes a folder of its
-own, which nothing changes later and which serves as the batch's snapshot too. The ledger row
-comes last and names that folder: readers see the newest try in the ledger and no other, so a
-retried batch leaves no duplicates and a try that fails changes nothing. Errors are not caught:
-the batch then stays uncommitted and runs again, under the same id, after a restart.
+A batch leaves a folder of rows and a ledger row (``store``). Errors are not caught: the batch
+then stays uncommitted and runs again, under the same id, after a restart.
 """
 
 import threading
-import time
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType, TimestampType
+from pyspark.sql.types import StructType
 
 from tarnlake.functions.records import parse_record
-from tarnlake.operators.batches import SNAPSHOT_FOLDER, UNKNOWN_YEAR
-from tarnlake.schemas import ledger_schema
-from tarnlake.session import delete_files, move_folder
-from tarnlake.sources.tables import append_table, overwrite_table
-
-CORRUPT = "_corrupt_record"
-ATTEMPT = "attempt"
+from tarnlake.streaming.store import CORRUPT, BatchStore, store_batch
 
 
 def parse_messages(
@@ -45,116 +34,6 @@ def parse_messages(
     return rows.select(*[f"record.`{f.name}`" for f in schema], corrupt.alias(CORRUPT))
 
 
-@dataclass(frozen=True)
-class BatchStore:
-    """Folders of one stream's output; its rows have no columns ``year``, ``batch_id`` or ``attempt``."""
-
-    root: str
-
-    @property
-    def rows(self) -> str:
-        return f"{self.root}/rows"
-
-    @property
-    def ledger_folder(self) -> str:
-        return f"{self.root}/ledger"
-
-    def _newest_tries(self, spark, date_type=None) -> DataFrame:
-        """The ledger's row of the newest try of each batch, with its ``attempt``."""
-        schema = ledger_schema(date_type) if date_type else ledger_schema()
-        rows = spark.read.schema(StructType([*schema.fields]).add(ATTEMPT, LongType())).parquet(self.ledger_folder)
-        newest = rows.groupBy("version_id").agg(F.max_by(F.struct(*rows.columns), ATTEMPT).alias("row"))
-        return newest.select("row.*")
-
-    def ledger(self, spark: SparkSession, date_type=None) -> DataFrame:
-        return self._newest_tries(spark, date_type).drop(ATTEMPT)
-
-    def compact_ledger(self, spark: SparkSession, date_type=None) -> None:
-        """Fold the ledger's files, one per batch, into one file; a job to run now and then.
-
-        The folded rows are in the folder before the old files go, and a row that is there twice
-        counts once, so a run that is cut short does no harm. A reader that listed the old
-        files just before has to start again.
-        """
-        old = spark.read.parquet(self.ledger_folder).inputFiles()
-        append_table(self._newest_tries(spark, date_type).coalesce(1), self.ledger_folder)
-        delete_files(spark, old)
-
-    def _of_ledger(self, spark, schema: StructType) -> DataFrame:
-        """Columns of the stored rows that belong to the newest try of a batch, with ``batch_id``.
-
-        Batch and attempt are folders, so the join prunes what is not in the ledger.
-        """
-        folders = StructType([*schema.fields]).add("year", "string").add("batch_id", "integer").add(ATTEMPT, LongType())
-        tries = spark.read.schema(f"version_id string, {ATTEMPT} long").parquet(self.ledger_folder)
-        number = F.regexp_extract("version_id", r"batch_(\d+)", 1).cast("int").alias("batch_id")
-        complete = tries.groupBy(number).agg(F.max(ATTEMPT).alias(ATTEMPT))
-        stored = spark.read.schema(folders).parquet(self.rows)
-        return stored.join(complete, ["batch_id", ATTEMPT], "left_semi").select(*schema.fieldNames(), "batch_id")
-
-    def table(self, spark: SparkSession, schema: StructType) -> DataFrame:
-        """Rows of the batches that are in the ledger, with their ``batch_id``."""
-        return self._of_ledger(spark, schema)
-
-    def corrupt_messages(self, spark: SparkSession) -> DataFrame:
-        """Messages that were no record or hold a value that could not be read.
-
-        Of the latter, what could be read is in the table too. The texts are stored beside the
-        rows, out of the way of the table.
-        """
-        texts = self._of_ledger(spark, StructType().add(CORRUPT, "string"))
-        return texts.filter(F.col(CORRUPT).isNotNull()).select("batch_id", F.col(CORRUPT).alias("value"))
-
-
-def store_batch(batch: DataFrame, batch_id: int, store: BatchStore, date_column: str) -> None:
-    """Write one micro-batch; its messages are read and parsed once, on the way to the table.
-
-    The ledger figures are taken from that same write. Rows are written aside and then moved to
-    their place under the year of the batch's first date; what is aside, readers do not see.
-    """
-    spark = batch.sparkSession
-    date_type = batch.schema[date_column].dataType
-    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else F.lit(False)
-    # A moment in time goes through its microseconds; a date or a time without a zone through
-    # its text, since the session's zone may have no such hour.
-    in_zone = isinstance(date_type, TimestampType)
-
-    def bound(value):
-        return F.unix_micros(value) if in_zone else value.cast("string")
-
-    seen = Observation()
-    observed = batch.observe(
-        seen,
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(corrupt).alias("corrupt_count"),
-        bound(F.min(date_column)).alias("low"),
-        bound(F.max(date_column)).alias("high"),
-        F.year(F.min(date_column)).alias("year"),
-    )
-    attempt = time.time_ns()
-    aside = f"{store.rows}/_aside/{batch_id}-{attempt}"
-    overwrite_table(observed, aside)
-    figures = seen.get
-    year = figures.get("year") or UNKNOWN_YEAR
-    snapshot = f"{SNAPSHOT_FOLDER % (store.rows, year, batch_id)}/{ATTEMPT}={attempt}"
-    move_folder(spark, aside, snapshot)
-
-    def moment(value):
-        return F.timestamp_micros(F.lit(value).cast("long")) if in_zone else F.lit(value).cast("string").cast(date_type)
-
-    ledger_row = spark.range(0, 1, 1, 1).select(
-        F.lit(f"batch_{batch_id}").alias("version_id"),
-        moment(figures.get("low")).alias("min_datestamp"),
-        moment(figures.get("high")).alias("max_datestamp"),
-        F.lit(f"Batch {batch_id}").alias("description"),
-        F.lit(snapshot).alias("snapshot_path"),
-        F.lit(figures.get("row_count", 0)).cast("long").alias("row_count"),
-        F.lit(figures.get("corrupt_count", 0)).cast("long").alias("corrupt_count"),
-        F.lit(attempt).alias(ATTEMPT),
-    )
-    append_table(ledger_row, store.ledger_folder)
-
-
 def ingest(
     messages: DataFrame,
     schema: StructType,
@@ -164,18 +43,26 @@ def ingest(
     timestamp_format: str | None = None,
     interval: str | None = None,
     on_batch=store_batch,
+    published: str | None = None,
 ) -> StreamingQuery:
     """Start storing a message stream.
 
     Without ``interval`` the query takes all messages there are and ends; with one, such
     as ``"10 seconds"``, it goes on for ever. The checkpoint folder carries its progress
-    over restarts.
+    over restarts. Each batch becomes a partition of the catalog table ``published``, if one is
+    named.
     """
+
+    def on_rows(batch, batch_id):
+        on_batch(batch, batch_id, store, date_column)
+        if published:
+            store.publish(batch.sparkSession, published, schema, schema[date_column].dataType)
+
     writer = (
         parse_messages(messages, schema, timestamp_format, keep_corrupt=True)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: on_batch(batch, batch_id, store, date_column))
+        .foreachBatch(on_rows)
     )
     if interval:
         return writer.trigger(processingTime=interval).start()

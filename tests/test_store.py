@@ -1,0 +1,230 @@
+"""The batch store: what is read, folded, removed, withdrawn and shown in the catalog."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
+
+from tarnlake.__main__ import main
+from tarnlake.schemas import SAMPLES
+from tarnlake.session import folders_like, replace_folder, work_folder
+from tarnlake.sources import overwrite_table, read_snapshot, read_table
+from tarnlake.streaming import BatchStore, store_batch, store_batches
+
+ROWS = StructType().add("SITE_ID", "string").add("DATE_SMP", "date")
+
+
+def rows(spark, n, day, mark="s"):
+    return spark.range(n).select(F.concat(F.lit(mark), "id").alias("SITE_ID"), F.lit(day).cast("date").alias("DATE_SMP"))
+
+
+def content(df):
+    return sorted(map(str, df.select("SITE_ID", "DATE_SMP", "batch_id").collect()))
+
+
+@pytest.fixture
+def store(spark):
+    """Six batches over two years, one without dates, one without rows; batch 2 was stored twice."""
+    store = BatchStore(work_folder(spark, "store"))
+    for number, (n, day) in enumerate([(3, "2020-01-01"), (4, "2020-02-01"), (5, "2021-03-01"), (2, None), (0, "2021-04-01"), (6, "2021-05-01")]):
+        if number == 2:
+            store_batch(rows(spark, 9, "2019-01-01", "dead"), number, store, "DATE_SMP")
+        store_batch(rows(spark, n, day), number, store, "DATE_SMP")
+    return store
+
+
+def batch_folders(spark, store):
+    return folders_like(spark, f"{store.rows}/year=*/batch_id=*/attempt=*") + folders_like(spark, f"{store.rows}/_folded/generation=*/year=*")
+
+
+def test_folding_and_clearing_up_change_nothing_that_is_read(spark, store):
+    reader = store.table(spark, ROWS)
+    before, ledger = content(reader), sorted(map(str, store.ledger(spark, DateType()).drop("snapshot_path").collect()))
+    snapshots = {v: sorted(map(str, read_snapshot(spark, store.ledger(spark, DateType()), v, ROWS).collect())) for v in ("batch_1", "batch_2")}
+    assert store.compact(spark, ROWS, DateType()) == 4, "all but the newest and the empty one"
+    assert content(reader) == before, "a reader that began before goes on"
+    assert store.vacuum(spark) == [], "within the time of grace nothing goes"
+    folders = len(batch_folders(spark, store))
+    removed = store.vacuum(spark, 0)
+    assert len(removed) == 5 and len(batch_folders(spark, store)) == folders - 5
+    for _ in range(2):
+        assert content(store.table(spark, ROWS)) == before
+        assert sorted(map(str, store.ledger(spark, DateType()).drop("snapshot_path").collect())) == ledger
+        for version, want in snapshots.items():
+            assert sorted(map(str, read_snapshot(spark, store.ledger(spark, DateType()), version, ROWS).collect())) == want
+            assert sorted(map(str, store.snapshot(spark, version, ROWS).collect())) == want
+        store.compact_ledger(spark, DateType())
+    assert store.compact(spark, ROWS, DateType()) == 0 and store.vacuum(spark, 0) == []
+
+
+def test_files_of_a_stated_size_hold_whole_batches_together(spark):
+    store = BatchStore(work_folder(spark, "store"))
+    for number in range(4):
+        store_batch(rows(spark, 3000, "2020-01-01", f"{number}-"), number, store, "DATE_SMP")
+    store.compact(spark, ROWS, DateType(), file_bytes=20_000, keep_newest=0)
+    files = store.table(spark, ROWS).inputFiles()
+    spread = store.table(spark, ROWS).select("batch_id", F.input_file_name().alias("file")).groupBy("batch_id").agg(F.count_distinct("file").alias("n")).collect()
+    assert 2 <= len(files) <= 12 and all(r["n"] < len(files) for r in spread)
+
+
+def test_a_fold_that_fails_leaves_all_as_it_was(spark, store, monkeypatch):
+    before = content(store.table(spark, ROWS))
+    wrong = BatchStore(store.root)
+    lost = spark.read.parquet(store.ledger(spark, DateType()).where("version_id = 'batch_1'").first()["snapshot_path"])
+    monkeypatch.setattr("tarnlake.streaming.store.append_table", lambda *_: (_ for _ in ()).throw(OSError("planned")))
+    with pytest.raises(OSError, match="planned"):
+        wrong.compact(spark, ROWS, DateType())
+    monkeypatch.undo()
+    assert content(store.table(spark, ROWS)) == before and lost.count() == 4
+    assert any("_folded" in p for p in store.vacuum(spark, 0)), "what the failed fold wrote goes"
+    assert content(store.table(spark, ROWS)) == before
+
+
+def test_tries_that_never_came_into_the_ledger_go(spark, store):
+    before = content(store.table(spark, ROWS))
+    rows(spark, 2, "2020-01-01").write.parquet(f"{store.rows}/year=2020/batch_id=6/attempt=17")
+    rows(spark, 2, "2020-01-01").write.parquet(f"{store.rows}/_aside/6-18")
+    removed = store.vacuum(spark, 3600)
+    assert removed == ["_aside/6-18", "year=2020/batch_id=6/attempt=17"]
+    assert content(store.table(spark, ROWS)) == before
+
+
+def test_slice_opens_only_folders_whose_dates_meet_the_range(spark, store):
+    found = store.latest_slice(spark, ROWS, "DATE_SMP")
+    assert found.count() == 6 and len({f.rpartition("/")[0] for f in found.inputFiles()}) == 1
+    store_batch(rows(spark, 1, "2020-01-15").unionAll(rows(spark, 1, "2020-03-01")), 6, store, "DATE_SMP")
+    store.compact(spark, ROWS, DateType(), keep_newest=3)
+    late = store.latest_slice(spark, ROWS, "DATE_SMP")
+    assert sorted({r["batch_id"] for r in late.collect()}) == [1, 6] and late.count() == 6
+    assert not any("year=2021" in f for f in late.inputFiles())
+    store_batch(rows(spark, 3, None), 7, store, "DATE_SMP")
+    assert store.latest_slice(spark, ROWS, "DATE_SMP").count() == 0, "a batch without dates has no range"
+
+
+def test_versions_and_rollback(spark, store):
+    all_rows = store.table(spark, ROWS)
+    want = {v: content(all_rows.where(F.col("batch_id") <= v)) for v in range(6)}
+    store.compact(spark, ROWS, DateType())
+    store.compact_ledger(spark, DateType())
+    for v, rows_then in want.items():
+        assert content(store.table(spark, ROWS, as_of=f"batch_{v}")) == rows_then
+    with pytest.raises(LookupError):
+        store.table(spark, ROWS, as_of="batch_77")
+
+    assert store.rollback(spark, "batch_2", DateType()) == 3 and store.rollback(spark, "batch_2", DateType()) == 0
+    assert content(store.table(spark, ROWS)) == want[2] and store.ledger(spark, DateType()).count() == 3
+    store.compact(spark, ROWS, DateType(), keep_newest=0)
+    store.compact_ledger(spark, DateType())
+    store.vacuum(spark, 0)
+    assert content(store.table(spark, ROWS, as_of="batch_5")) == want[5], "what was withdrawn can still be read"
+    store_batch(rows(spark, 7, "2022-01-01"), 6, store, "DATE_SMP")
+    assert store.table(spark, ROWS).count() == 12 + 7
+    store_batch(rows(spark, 1, "2022-01-01"), 4, store, "DATE_SMP")
+    assert store.table(spark, ROWS).where("batch_id = 4").count() == 1, "a withdrawn batch can be stored anew"
+
+
+def test_rollback_over_a_batch_that_was_stored_anew(spark, store):
+    before = content(store.table(spark, ROWS))
+    store_batch(rows(spark, 8, "2020-01-01"), 0, store, "DATE_SMP")
+    assert store.rollback(spark, "batch_5", DateType()) == 1 and content(store.table(spark, ROWS)) == before
+    store_batch(rows(spark, 8, "2020-01-01"), 0, store, "DATE_SMP")
+    store.vacuum(spark, 0)
+    with pytest.raises(LookupError, match="cleared up"):
+        store.rollback(spark, "batch_5", DateType())
+    assert store.table(spark, ROWS).where("batch_id = 0").count() == 8
+
+
+def test_catalog_shows_what_the_store_holds(spark, store):
+    name = "published_" + store.root.rsplit("-", 1)[1]
+
+    def same():
+        store.publish(spark, name, ROWS, DateType())
+        shown, kept = spark.table(name).select(*ROWS.fieldNames()), store.table(spark, ROWS).drop("batch_id")
+        return sorted(map(str, shown.collect())) == sorted(map(str, kept.collect()))
+
+    assert same()
+    store_batch(rows(spark, 8, "2021-06-01"), 5, store, "DATE_SMP")
+    assert same()
+    store.compact(spark, ROWS, DateType())
+    assert same()
+    store_batch(rows(spark, 1, "2020-01-01"), 0, store, "DATE_SMP")
+    assert same(), "a fold with a batch that was stored anew"
+    store.rollback(spark, "batch_2", DateType())
+    assert same() and content(store.table(spark, ROWS)) == content(store.table(spark, ROWS, as_of="batch_2"))
+    files = spark.table(name).where("year = '2021'").select("SITE_ID").inputFiles()
+    assert spark.table(name).where("year = '2021'").count() == 5 and files
+    spark.sql(f"DROP TABLE {name}")
+    assert store.table(spark, ROWS).count() == 12, "the rows are the store's"
+
+
+def test_commands(spark, tmp_path, capsys):
+    store, schema = BatchStore(work_folder(spark, "store")), "tarn_store"
+    main(["create-tables", "--schema", schema, "--location", work_folder(spark, "schema"), "--store", store.root], spark)
+    assert spark.table(f"{schema}.samples").count() == spark.table(f"{schema}.ledger").count() == 0
+    (tmp_path / "m.txt").write_text("".join(f'{{"SITE_ID": "s{i}", "DATE_SMP": "2020-01-0{i} 00:00:00"}}\n' for i in range(1, 5)))
+    main(["ingest", "--source", str(tmp_path), "--store", store.root, "--checkpoint", work_folder(spark, "p"), "--table", f"{schema}.samples", "--timeout", "120"], spark)
+    assert spark.table(f"{schema}.samples").count() == 4
+    template = spark.read.schema(SAMPLES).parquet(store.ledger(spark).first()["snapshot_path"])
+    store_batch(template, 1, store, "DATE_SMP")
+    main(["compact", "--store", store.root, "--table", f"{schema}.samples", "--grace-hours", "0"], spark)
+    assert spark.table(f"{schema}.samples").count() == 8
+    main(["rollback", "--store", store.root, "--version", "batch_0"], spark)
+    main(["publish", "--store", store.root, "--table", f"{schema}.samples", "--ledger", f"{schema}.ledger"], spark)
+    assert spark.table(f"{schema}.samples").count() == 4
+    spark.catalog.refreshTable(f"{schema}.ledger_log")
+    assert [r["version_id"] for r in spark.table(f"{schema}.ledger").collect()] == ["batch_0"]
+    assert "1 batches withdrawn" in capsys.readouterr().out
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+def test_bulk_store(spark):
+    store = BatchStore(work_folder(spark, "store"))
+    many = spark.range(100).select(F.col("id").cast("string").alias("SITE_ID"), F.expr("date_add(DATE'2020-01-01', CAST(id * 9 AS int))").alias("DATE_SMP"), (F.col("id") % 7).cast("int").alias("n"))
+    store_batches(many, "n", store, "DATE_SMP")
+    assert content(store.table(spark, ROWS)) == content(many.withColumnRenamed("n", "batch_id"))
+    figures = {r["version_id"]: (r["row_count"], r["min_datestamp"]) for r in store.ledger(spark, DateType()).collect()}
+    assert len(figures) == 7 and sum(n for n, _ in figures.values()) == 100
+    with pytest.raises(ValueError):
+        store_batches(many.withColumn("n", F.nullif("n", F.lit(3))), "n", store, "DATE_SMP")
+
+
+def failing(df, column):
+    return df.withColumn(column, F.when(F.col("id") == 3, F.raise_error(F.lit("planned")).cast("long")).otherwise(F.col(column)))
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_replacing_a_table_is_all_or_nothing(spark, catalog):
+    folder = work_folder(spark, "table")
+    target = "replaced_" + folder.rsplit("-", 1)[1] if catalog else folder
+    numbers = spark.range(10).withColumn("n", F.col("id") * 2)
+    overwrite_table(numbers, target)
+    with pytest.raises(Exception, match="planned"):
+        overwrite_table(failing(numbers, "n"), target)
+    assert read_table(spark, target).agg(F.sum("n")).first()[0] == 90
+    overwrite_table(read_table(spark, target).where("id < 5").withColumn("n", F.col("n") + 1), target)
+    assert read_table(spark, target).agg(F.sum("n"), F.count("n")).first()[:] == (25, 5)
+    overwrite_table(spark.range(3).withColumnRenamed("id", "other"), target)
+    assert read_table(spark, target).columns == ["other"]
+    if catalog:
+        assert [t.name for t in spark.catalog.listTables() if target in t.name] == [target]
+        spark.sql(f"DROP TABLE {target}")
+    else:
+        assert folders_like(spark, f"{target}*") == [f"file:{target}"]
+
+
+def test_a_replacement_cut_short_between_its_renames(spark, monkeypatch):
+    target, other = work_folder(spark, "table"), work_folder(spark, "other")
+    overwrite_table(spark.range(10), target)
+    spark.range(4).write.mode("overwrite").parquet(other)
+    moves = []
+
+    def second_fails(spark_, source, to, move=replace_folder.__globals__["move_folder"]):
+        moves.append(to)
+        if len(moves) > 1:
+            raise KeyboardInterrupt
+        move(spark_, source, to)
+
+    monkeypatch.setitem(replace_folder.__globals__, "move_folder", second_fails)
+    with pytest.raises(KeyboardInterrupt):
+        replace_folder(spark, other, target)
+    monkeypatch.undo()
+    assert read_table(spark, target).count() == 10

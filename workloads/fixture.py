@@ -18,6 +18,7 @@ from tarnlake.sources import (
     write_batches,
     write_messages,
 )
+from tarnlake.streaming import BatchStore, store_batches
 
 FIRST_YEAR = 1995
 
@@ -106,6 +107,20 @@ def stored_snapshots(spark, sf_dir) -> tuple[DataFrame, str]:
     return kept, root
 
 
+def short_batches(spark, sf_dir) -> DataFrame:
+    """Orders with the number of their stretch of twelve days: some 200 batches."""
+    stretch = F.floor(F.datediff("o_orderdate", F.lit(f"{FIRST_YEAR}-01-01").cast("date")) / 12)
+    return table(spark, sf_dir, "orders").withColumn("batch_id", stretch.cast("int"))
+
+
+def short_batch_store(spark, sf_dir, *parts):
+    """A store with these batches of orders, stored part by part, and the rows' schema."""
+    store, orders = BatchStore(work_folder(spark, "store")), short_batches(spark, sf_dir)
+    for part in parts or (F.lit(True),):
+        store_batches(orders.where(part), "batch_id", store, "o_orderdate")
+    return store, orders.drop("batch_id").schema
+
+
 def file_sizes(rows: int, batches: int = 4, files_per_batch: int = 8, most_rows: int = 5_000_000) -> tuple[int, int]:
     """Rows per file and files per micro-batch that give about ``batches`` micro-batches.
 

@@ -111,6 +111,8 @@ RECONCILIATION = f"""
     UNION ALL
     SELECT 'samples', SITE_ID FROM (SELECT SITE_ID FROM sites EXCEPT SELECT SITE_ID FROM sliced)"""
 
+_STRETCH = "CAST(floor(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) / 12) AS INTEGER)"
+
 ORACLES = {
     "scan_table": "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem",
     "scan_delimited_csv": "SELECT * FROM part",
@@ -126,6 +128,18 @@ ORACLES = {
         SELECT *, CAST((year(o_orderdate) - 1995) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS INTEGER) AS batch_id
         FROM orders""",
     "sink_overwrite": "SELECT * FROM customer",
+    "sink_overwrite_self": "SELECT * REPLACE (-c_acctbal AS c_acctbal) FROM customer",
+    "store_latest_slice": f"""
+        WITH last_batch AS (
+          SELECT {_STRETCH} AS batch, min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 1
+        )
+        SELECT orders.* FROM orders, last_batch WHERE o_orderdate >= low AND o_orderdate <= high""",
+    "store_compacted": f"SELECT *, {_STRETCH} AS batch_id FROM orders",
+    "store_as_of": f"SELECT *, {_STRETCH} AS batch_id FROM orders WHERE {_STRETCH} <= 100",
+    "store_rollback": f"SELECT *, {_STRETCH} AS batch_id FROM orders WHERE {_STRETCH} <= 100 OR {_STRETCH} = 150",
+    "store_published": f"""
+        WITH first_dates AS (SELECT {_STRETCH} AS batch, min(o_orderdate) AS low FROM orders GROUP BY 1)
+        SELECT orders.*, CAST(year(low) AS VARCHAR) AS year FROM orders JOIN first_dates ON batch = {_STRETCH} WHERE year(low) IN (1995, 1996)""",
     "snapshot_by_year": f"""
         WITH {_ledger()}
         SELECT CAST(year(min_datestamp) AS INTEGER) AS year, batch AS batch_id, row_count FROM ledger""",

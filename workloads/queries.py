@@ -1,6 +1,6 @@
 """One query per operator: ``name -> function(spark, sf_dir)``."""
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,6 +55,7 @@ from tarnlake.streaming import (
     progress_rows,
     replay,
     store_batch,
+    store_batches,
 )
 from workloads.fixture import (
     event_file_stream,
@@ -67,6 +68,8 @@ from workloads.fixture import (
     stored_ledger,
     stored_snapshots,
     table,
+    short_batches,
+    short_batch_store,
 )
 
 MEANS = ("AVG_PH", "AVG_SO4", "AVG_NO3")
@@ -161,6 +164,19 @@ def sink_overwrite(spark, d):
     return read_table(spark, target)
 
 
+def sink_overwrite_self(spark, d):
+    """A table made from itself, after a replacement that fails half-way."""
+    customer, target = table(spark, d, "customer"), work_folder(spark, "overwrite")
+    overwrite_table(customer, target)
+    half = F.when(F.col("c_custkey") % 2 == 0, F.raise_error(F.lit("planned"))).otherwise(F.col("c_custkey"))
+    try:
+        overwrite_table(read_table(spark, target).withColumn("c_custkey", half.cast("long")), target)
+    except PySparkException:
+        pass
+    overwrite_table(read_table(spark, target).withColumn("c_acctbal", -F.col("c_acctbal")), target)
+    return read_table(spark, target)
+
+
 def snapshot_by_year(spark, d):
     _, root = stored_snapshots(spark, d)
     return read_table(spark, root).groupBy("year", "batch_id").agg(F.count(F.lit(1)).alias("row_count"))
@@ -476,6 +492,55 @@ def stream_compacted_ledger(spark, d):
     return store.table(spark, schema).drop("batch_id")
 
 
+# Stored batches
+
+
+def store_latest_slice(spark, d):
+    """The last batch's range, cut out of the few folders whose dates meet it."""
+    store, schema = short_batch_store(spark, d)
+    return store.latest_slice(spark, schema, "o_orderdate").drop("batch_id")
+
+
+def store_compacted(spark, d):
+    """All batches after folding, a batch stored anew, folding again and clearing up."""
+    store, schema = short_batch_store(spark, d)
+    kind = schema["o_orderdate"].dataType
+    store.compact(spark, schema, kind)
+    store_batches(short_batches(spark, d).where("batch_id = 7"), "batch_id", store, "o_orderdate")
+    store.compact(spark, schema, kind)
+    store.compact_ledger(spark, kind)
+    store.vacuum(spark, 0)
+    return store.table(spark, schema)
+
+
+def store_as_of(spark, d):
+    """The table as it was after its batches up to 100, read after a fold and a batch stored anew."""
+    store, schema = short_batch_store(spark, d, F.col("batch_id") <= 100, F.col("batch_id") > 100)
+    store.compact(spark, schema, schema["o_orderdate"].dataType)
+    store_batches(short_batches(spark, d).where("batch_id = 150"), "batch_id", store, "o_orderdate")
+    return store.table(spark, schema, as_of="batch_100")
+
+
+def store_rollback(spark, d):
+    """Back to the batches up to 100, and then on with batch 150."""
+    store, schema = short_batch_store(spark, d, F.col("batch_id") <= 100, F.col("batch_id") > 100)
+    store.rollback(spark, "batch_100", schema["o_orderdate"].dataType)
+    store_batches(short_batches(spark, d).where("batch_id = 150"), "batch_id", store, "o_orderdate")
+    return store.table(spark, schema)
+
+
+def store_published(spark, d):
+    """The catalog's table of the batches, after a retry and a fold, one year of it."""
+    store, schema = short_batch_store(spark, d)
+    kind, name = schema["o_orderdate"].dataType, "published_" + store.root.rsplit("-", 1)[1]
+    store.publish(spark, name, schema, kind)
+    store_batches(short_batches(spark, d).where("batch_id = 7"), "batch_id", store, "o_orderdate")
+    store.publish(spark, name, schema, kind)
+    store.compact(spark, schema, kind)
+    store.publish(spark, name, schema, kind)
+    return spark.table(name).where("year IN ('1995', '1996')").select(*schema.fieldNames(), "year")
+
+
 def stream_progress(spark, d):
     query, _, _ = _ingested(spark, d)
     return progress_rows(spark, query).agg(
@@ -494,6 +559,7 @@ QUERIES = {
     "sink_append": sink_append,
     "sink_append_idempotent": sink_append_idempotent,
     "sink_overwrite": sink_overwrite,
+    "sink_overwrite_self": sink_overwrite_self,
     "snapshot_by_year": snapshot_by_year,
     "snapshot_restore": snapshot_restore,
     "rows_to_json": rows_to_json,
@@ -539,4 +605,9 @@ QUERIES = {
     "stream_replay_pace": stream_replay_pace,
     "stream_compacted_ledger": stream_compacted_ledger,
     "stream_progress": stream_progress,
+    "store_latest_slice": store_latest_slice,
+    "store_compacted": store_compacted,
+    "store_as_of": store_as_of,
+    "store_rollback": store_rollback,
+    "store_published": store_published,
 }
