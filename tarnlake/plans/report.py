@@ -1,5 +1,6 @@
 """Report on the last batch: newest rows, enrichment, id reconciliation, yearly metrics."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,14 +11,28 @@ from tarnlake.operators.history import latest_per_key
 from tarnlake.operators.metrics import annual_metrics
 from tarnlake.operators.sets import reconcile_ids
 from tarnlake.schemas import METRIC_COLUMNS
+from tarnlake.session import work_folder
 from tarnlake.sources.tables import overwrite_batch, overwrite_table, read_table
 
 
 @dataclass(frozen=True)
 class Report:
+    """The results as lazy DataFrames; ``over`` builds them anew from (samples, sites, methods).
+
+    ``inputs`` are these three after slice and collapse, of which all results are made.
+    """
+
     joined: DataFrame
     reconciliation: DataFrame
     metrics: DataFrame
+    inputs: tuple[DataFrame, DataFrame, DataFrame]
+    over: Callable[..., "Report"]
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    folder = work_folder(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(folder)
+    return read_table(df.sparkSession, folder, df.schema)
 
 
 def build_report(
@@ -56,16 +71,14 @@ def build_report(
         samples = latest_per_key(samples, list(sample_keys), sample_date, list(sample_tie_break), ties_are_unique)
     sites = latest_per_key(sites, list(site_keys), site_date, list(site_tie_break), ties_are_unique)
     methods = latest_per_key(methods, [program_key], method_date, list(method_tie_break), ties_are_unique)
-    joined = enrich(samples, sites, methods, site_keys, program_key, spread)
-    return Report(
-        joined=joined,
-        reconciliation=reconcile_ids(
-            samples, sites, site_keys[0], left_name="samples", right_name="sites"
-        ),
-        metrics=annual_metrics(
-            joined, f"{site_keys[0]}_LTM", f"{program_key}_LTM", sample_date, measures
-        ),
-    )
+
+    def over(samples, sites, methods):
+        joined = enrich(samples, sites, methods, site_keys, program_key, spread)
+        missing = reconcile_ids(samples, sites, site_keys[0], left_name="samples", right_name="sites")
+        metrics = annual_metrics(joined, f"{site_keys[0]}_LTM", f"{program_key}_LTM", sample_date, measures)
+        return Report(joined, missing, metrics, (samples, sites, methods), over)
+
+    return over(samples, sites, methods)
 
 
 def save_report(
@@ -80,9 +93,13 @@ def save_report(
 
     The join runs once: the metrics read back the few columns they need, and saving a
     version again replaces it. With a folder for it, the reconciliation is stored whole under
-    the same version.
+    the same version. Join and reconciliation then share their inputs: the newest samples and
+    sites are stored first, so that every table is read, sliced and collapsed once.
     """
     spark = report.joined.sparkSession
+    if reconciliation_folder:
+        samples, sites, methods = report.inputs
+        report = report.over(_stored(samples, "report-samples"), _stored(sites, "report-sites"), methods)
     stored = overwrite_batch(report.joined, joined_folder, version_id, "version_id")
     metrics = annual_metrics(read_table(spark, stored, report.joined.schema), **metric_options)
     overwrite_table(metrics, metrics_target)

@@ -98,6 +98,13 @@ def folders_like(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in fs.globStatus(hadoop_path) or []]
 
 
+def set_times(spark: SparkSession, times: dict[str, int]) -> None:
+    """Give files the times, in milliseconds, at which they count as written."""
+    for path, time in times.items():
+        fs, hadoop_path = _file_system(spark, path)
+        fs.setTimes(hadoop_path, time, -1)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.mkdirs(hadoop_path)

@@ -1,7 +1,12 @@
-"""The replay's figures are whole beyond the micro-batches that Spark remembers."""
+"""The replay's figures are whole beyond the micro-batches that Spark remembers, its batches full and in order."""
+
+import pytest
+from pyspark.sql import functions as F
 
-from workloads.queries import QUERIES
 from tarnlake.session import work_folder
+from tarnlake.streaming import cut_for_replay, finish
+from tarnlake.streaming.replay import numbered_in_order
+from workloads.queries import QUERIES
 
 
 def test_replay_pace_beyond_a_hundred_batches(spark):
@@ -14,3 +19,26 @@ def test_replay_pace_of_no_events(spark):
     folder = work_folder(spark, "no-events")
     spark.range(0).selectExpr("id AS event_id").write.parquet(f"{folder}/events.parquet")
     assert [tuple(r) for r in QUERIES["stream_replay_pace"](spark, folder).collect()] == [(0, 0)]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_all_micro_batches_but_the_last_are_full_and_in_order(spark, parts):
+    source = work_folder(spark, "numbers")
+    spark.range(0, 2345, 1, parts).withColumn("text", F.format_string("row %05d", "id")).write.mode("overwrite").parquet(source)
+    stored = spark.read.parquet(source)
+    order = [r["id"] for r in numbered_in_order(stored).orderBy("__number").collect()]
+    assert order == list(range(2345))
+    target = work_folder(spark, "out")
+    seen = []
+    stream = cut_for_replay(stored, 500).writeStream.foreachBatch(lambda df, _: seen.append([r["id"] for r in df.collect()]))
+    finish(stream.option("checkpointLocation", target).trigger(processingTime="0 seconds").start(), 120)
+    assert [len(s) for s in seen if s] == [500, 500, 500, 500, 345]
+    assert [i for s in seen for i in s] == list(range(2345))
+
+
+def test_nothing_to_replay(spark):
+    none = spark.range(0).withColumn("text", F.lit("x"))
+    seen = []
+    stream = cut_for_replay(none, 5).writeStream.foreachBatch(lambda df, _: seen.append(df.count()))
+    finish(stream.option("checkpointLocation", work_folder(spark, "p")).trigger(processingTime="0 seconds").start(), 60)
+    assert sum(seen) == 0

@@ -142,3 +142,20 @@ def test_clean_file(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("a;b\n")
     assert [tuple(r)[1:] for r in clean_file(spark, str(tmp_path / "empty.csv"), f"{target}-empty").collect()] == [("a", "string", 0), ("b", "string", 0)]
     assert sorted(map(tuple, spark.read.csv(target, header=True).collect()), key=str) == [("1", "x", "2,5"), (None, None, "3")]
+
+
+def test_saving_with_reconciliation_reads_every_table_once(spark, stored, tmp_path):
+    """What both results need is stored once: behind it, no plan reads a sample or site again."""
+    report = report_of(stored)
+    copies = [f"file:{tmp_path}/{n}" for n in ("samples", "sites")]
+    for df, folder in zip(report.inputs, copies):
+        df.write.parquet(folder)
+    again = report.over(*[spark.read.parquet(c) for c in copies], report.inputs[2])
+    for name in ("joined", "reconciliation", "metrics"):
+        want, got = getattr(report, name), getattr(again, name)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.dtypes == want.dtypes
+    assert {f.rpartition("/")[0].rpartition("/")[2] for f in again.reconciliation.inputFiles()} == {"samples", "sites"}
+    joined, metrics, missing = (work_folder(spark, n) for n in ("joined", "metrics", "missing"))
+    save_report(report, joined, metrics, "batch_1", missing)
+    kept = spark.read.parquet(missing).drop("version_id")
+    assert sorted(map(str, kept.collect())) == sorted(map(str, report.reconciliation.collect()))

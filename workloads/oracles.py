@@ -251,6 +251,14 @@ ORACLES = {
         FROM events""",
     "stream_paced_replay": _ALL_EVENTS,
     "stream_replay_pace": "SELECT count(*) AS rows_sent, CAST(0 AS BIGINT) AS batches_above_pace FROM events",
+    "stream_replay_batches": """
+        WITH numbered AS (SELECT row_number() OVER () - 1 AS n FROM events)
+        SELECT n // 5000 AS batch_number, count(*) AS row_count FROM numbered GROUP BY 1""",
     "stream_compacted_ledger": _ALL_EVENTS,
+    "state_newest_rows": """
+        SELECT * FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST, o_orderkey DESC) = 1""",
+    "state_yearly_metrics": f"""
+        WITH {_samples()}, kept AS (SELECT * FROM samples WHERE SAMPLE_NO % 4 <> 1) {_metrics("kept")}""",
     "stream_progress": "SELECT count(*) AS rows_seen, CAST(0 AS BIGINT) AS untimed_batches FROM events",
 }

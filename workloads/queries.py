@@ -1,6 +1,7 @@
 """One query per operator: ``name -> function(spark, sf_dir)``."""
 
 from pyspark.errors import PySparkException, StreamingQueryException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,8 +46,10 @@ from tarnlake.sources import (
     write_delimited,
 )
 from tarnlake.streaming import (
-    ProgressLog,
     BatchStore,
+    NewestRows,
+    ProgressLog,
+    YearlyMetrics,
     cut_for_replay,
     drain,
     finish,
@@ -470,21 +473,34 @@ def stream_paced_replay(spark, d):
     return parse_messages(spark.read.text(target), schema)
 
 
-def stream_replay_pace(spark, d):
-    """All events sent, so many rows at a time; batches above that are counted."""
-    events, pace = table(spark, d, "events"), 5000
-    log = ProgressLog(spark, work_folder(spark, "pace"))
+def _replayed(spark, d, pace):
+    """What a replay of the events sent, and its log of micro-batches."""
+    target, log = work_folder(spark, "replayed"), ProgressLog(spark, work_folder(spark, "pace"))
     spark.streams.addListener(log)
     try:
-        sent = finish(replay(cut_for_replay(events, pace), work_folder(spark, "replayed"), work_folder(spark, "progress"), "0 seconds"))
+        sent = finish(replay(cut_for_replay(table(spark, d, "events"), pace), target, work_folder(spark, "progress"), "0 seconds"))
     finally:
         log.close()
-    return log.rows().where(F.col("query_id") == sent.id).agg(
+    return target, log.rows().where((F.col("query_id") == sent.id) & (F.col("row_count") > 0))
+
+
+def stream_replay_pace(spark, d):
+    """All events sent, so many rows at a time; batches above that are counted."""
+    pace = 5000
+    _, log = _replayed(spark, d, pace)
+    return log.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).cast("long").alias("rows_sent"),
         F.count_if(F.col("row_count") > pace).alias("batches_above_pace"),
     )
 
 
+def stream_replay_batches(spark, d):
+    """The rows of every micro-batch of a replay, in order: all have 5000 but the last."""
+    _, log = _replayed(spark, d, 5000)
+    number = F.row_number().over(Window.orderBy("batch_id")).cast("long") - 1
+    return log.select(number.alias("batch_number"), "row_count")
+
+
 def stream_compacted_ledger(spark, d):
     _, store, schema = _ingested(spark, d)
     for _ in range(2):
@@ -541,6 +557,28 @@ def store_published(spark, d):
     return spark.table(name).where("year IN ('1995', '1996')").select(*schema.fieldNames(), "year")
 
 
+def state_newest_rows(spark, d):
+    """The newest order of each customer, taken in half-year by half-year: late ones first, some twice."""
+    orders = numbered_orders(spark, d)
+    state = NewestRows(work_folder(spark, "newest"), ("o_custkey",), "o_orderdate", ("o_orderkey",), buckets=8)
+    for number in (5, -6, 11, 0, 5, 3):
+        few = (F.col("batch_id") % 3 == number % 3) if number < 0 else (F.col("batch_id") == number)
+        state.merge(orders.where(few).drop("batch_id"), number)
+    state.merge(orders.drop("batch_id"), 100)
+    return state.table(spark, orders.drop("batch_id").schema)
+
+
+def state_yearly_metrics(spark, d):
+    """Yearly means from the parts of four batches: one is stored twice, one is withdrawn."""
+    rows = samples(spark, d).withColumn("n", F.col("SAMPLE_NO") % 4)
+    state = YearlyMetrics(work_folder(spark, "metric-parts"))
+    state.put(rows.where("n = 2").withColumn("PH_LAB", F.lit("1,0")), 2)
+    for number in (0, 1, 2, 3):
+        state.put(rows.where(F.col("n") == number), number)
+    state.withdraw(spark, 1)
+    return rounded(state.metrics(spark))
+
+
 def stream_progress(spark, d):
     query, _, _ = _ingested(spark, d)
     return progress_rows(spark, query).agg(
@@ -603,6 +641,7 @@ QUERIES = {
     "stream_batch_ledger": stream_batch_ledger,
     "stream_paced_replay": stream_paced_replay,
     "stream_replay_pace": stream_replay_pace,
+    "stream_replay_batches": stream_replay_batches,
     "stream_compacted_ledger": stream_compacted_ledger,
     "stream_progress": stream_progress,
     "store_latest_slice": store_latest_slice,
@@ -610,4 +649,6 @@ QUERIES = {
     "store_as_of": store_as_of,
     "store_rollback": store_rollback,
     "store_published": store_published,
+    "state_newest_rows": state_newest_rows,
+    "state_yearly_metrics": state_yearly_metrics,
 }
