@@ -45,7 +45,8 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, pair: str = "conv_i
     Turns are in order of ``turn``, then role and text, nulls first; repeated turns stay. A
     conversation missing on one side has no turns there. A null role renders as no role and
     is not trained on, a null text as empty. Equal conversations give two empty completions.
-    Null pairs are one pair. Other columns are not read. No rows: no pairs.
+    A turn without a pair belongs to none: it is a row of its own, with an empty prompt, on the
+    side it came from. Other columns are not read. No rows: no pairs.
 
     One shuffle by pair. A conversation is one row, as it is one training text.
     """
@@ -53,7 +54,10 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, pair: str = "conv_i
     sides = chosen.select(F.col(pair).alias("pair"), turn.alias("c"), F.lit(None).cast("struct<turn:bigint,role:string,text:string>").alias("r")).unionAll(
         rejected.select(F.col(pair), F.lit(None).cast("struct<turn:bigint,role:string,text:string>"), turn)
     )
-    both = sides.groupBy("pair").agg(F.sort_array(F.collect_list("c")).alias("c"), F.sort_array(F.collect_list("r")).alias("r"))
+    paired = sides.where("pair IS NOT NULL").groupBy("pair")
+    both = paired.agg(F.sort_array(F.collect_list("c")).alias("c"), F.sort_array(F.collect_list("r")).alias("r"))
+    lone = [F.filter(F.array(side), lambda t: t.isNotNull()).alias(side) for side in "cr"]
+    both = both.unionAll(sides.where("pair IS NULL").select("pair", *lone))
     # Turns that only one conversation has stand against a null turn.
     same = F.zip_with(
         "c", "r", lambda c, r: c.isNotNull() & r.isNotNull() & c["role"].eqNullSafe(r["role"]) & c["text"].eqNullSafe(r["text"])
@@ -125,5 +129,10 @@ SELECT conv_id, count(*) FILTER (WHERE in_a) AS n_turns, count(*) FILTER (WHERE
               FILTER (WHERE in_a AND NOT common AND a_role = '{TRAINED_ROLE}'), '')) AS chosen_trained_sha256,
        sha256(coalesce(string_agg(coalesce(b_text, '') || '<|im_end|>' || chr(10), '' ORDER BY n)
               FILTER (WHERE in_b AND NOT common AND b_role = '{TRAINED_ROLE}'), '')) AS rejected_trained_sha256
-FROM rendered GROUP BY conv_id
+FROM rendered WHERE conv_id IS NOT NULL GROUP BY conv_id
+UNION ALL
+SELECT conv_id, CAST(in_a AS BIGINT), 0, sha256(''), sha256(CASE WHEN in_a THEN a_out ELSE '' END), sha256(CASE WHEN in_b THEN b_out ELSE '' END),
+       sha256(CASE WHEN in_a AND a_role = '{TRAINED_ROLE}' THEN coalesce(a_text, '') || '<|im_end|>' || chr(10) ELSE '' END),
+       sha256(CASE WHEN in_b AND b_role = '{TRAINED_ROLE}' THEN coalesce(b_text, '') || '<|im_end|>' || chr(10) ELSE '' END)
+FROM rendered WHERE conv_id IS NULL
 """

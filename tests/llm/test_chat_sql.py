@@ -1,0 +1,23 @@
+"""Conversations with null ids, roles and texts: the query and its SQL agree."""
+
+import pyarrow.parquet as pq
+
+from tarnlake.llm.common import prepare
+from tarnlake.llm.queries import ORACLES, QUERIES
+from tests.compare import TABLES, difference
+
+
+def test_odd_conversations_agree_with_sql(spark, tmp_path):
+    import duckdb
+
+    schema = pq.read_schema("/root/testdata/sf0.001/conversations.parquet")
+    rows = [(i // 3, i % 3, ("user", "assistant", "user")[i % 3], f"t{i % 7}") for i in range(60)]
+    rows += [(None, i, ("user", "assistant", None)[i % 3], f"x{i}" if i % 4 else None) for i in range(40)]
+    rows += [(100, 0, "assistant", None), (101, 0, None, "a"), (102, 5, "assistant", "b"), (103, 5, "assistant", "c")]
+    kinds = dict(zip(schema.names, map(str, schema.types)))
+    ddl = ", ".join(f"{n} {dict(int64='long', int32='int', string='string', large_string='string')[kinds[n]]}" for n in ("conv_id", "turn", "role", "text"))
+    prepare(spark).createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    assert "conversations" in TABLES
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert difference(QUERIES["op10_preference_format"](spark, str(tmp_path)), db, ORACLES["op10_preference_format"]) is None
