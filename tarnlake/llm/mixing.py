@@ -58,6 +58,26 @@ def _random(id_column, text_column) -> Column:
     return (bits + 0.5) / float(1 << 52)
 
 
+def _with_excess_dealt_out(slim: DataFrame, sources: DataFrame, most: int) -> DataFrame:
+    """``sources`` with a ``rate`` at which documents of high importance, held at ``most`` copies,
+    leave their source's target to the others: raised until no further document is held."""
+    while True:
+        facts = sources.select(F.col("source").alias("s"), "rate")
+        held = F.col("rate") * F.col("weight") >= most
+        placed = slim.join(facts, F.col("source").eqNullSafe(F.col("s")))
+        sums = placed.groupBy("s").agg(
+            F.sum(F.when(held, F.col("size")).otherwise(0)).alias("held_words"),
+            F.sum(F.when(held, 0.0).otherwise(F.col("size") * F.col("weight"))).alias("free"),
+        )
+        left = F.col("target") - most * F.col("held_words")
+        raised = F.when((F.col("free") > 0) & (left > 0), F.greatest("rate", left / F.col("free"))).otherwise(F.col("rate"))
+        both = sources.join(sums, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        both = stored(both.withColumns({"before": F.col("rate"), "rate": raised}), "rates")
+        sources = both.select("source", "source_size", "target", "rate")
+        if both.where(F.col("rate") > F.col("before") * (1 + 1e-9)).isEmpty():
+            return sources
+
+
 def mix(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -72,8 +92,9 @@ def mix(
     ``size`` is the number of words of the text (null: 0), ``copies`` how often the mix takes
     the document (0 to ``most``), ``taken`` the words that makes. The ranked documents are taken
     as long as they fit into the source's words, and then the one whose size is nearest to what
-    is left, if that brings the words nearer to the target. ``importance`` names a column of positive numbers that
-    shift copies between the documents of a source (default: all alike).
+    is left, if that brings the words nearer to the target. ``importance`` names a column of numbers that
+    shift copies between the documents of a source (default: all alike); null or negative ones
+    count as 0. What documents held at ``most`` copies leave goes to the others of their source.
 
     Runs agree: the random number comes from the id (from the text where the id is null).
     Rows that agree in that and in size are one step of the order; where the words run out, as
@@ -83,26 +104,27 @@ def mix(
     """
     made = ("size", "source_size", "target", "copies", "taken")
     own = [c for c in docs.columns if c not in made]
-    weight = F.col(importance).cast("double") if importance else F.lit(1.0)
-    rows = docs.select(*[F.col(f"`{c}`") for c in own]).withColumns(
-        {
-            "size": word_count(F.col(text_column)),
-            "__source": F.col(source_column),
-            "__random": _random(id_column, text_column),
-            "__weight": weight,
-        }
+    weight = F.greatest(F.coalesce(F.col(f"`{importance}`").cast("double"), F.lit(0.0)), F.lit(0.0)) if importance else F.lit(1.0)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"),
+        word_count(F.col(f"`{text_column}`")).alias("size"),
+        F.col(f"`{source_column}`").alias("source"),
+        _random(f"`{id_column}`", f"`{text_column}`").alias("random"),
+        weight.alias("weight"),
     )
-    slim = stored(rows.select(F.col("__source").alias("source"), "size", F.col("__random").alias("random"), F.col("__weight").alias("weight")), "sizes")
+    slim = stored(rows.drop("row"), "sizes")
     sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("weight")).alias("weighted"))
     targets = source_targets(sums.select("source", "source_size"), weights, most)
-    sources = stored(
-        targets.withColumnRenamed("source", "s").join(sums.select("source", "weighted"), F.col("s").eqNullSafe(F.col("source"))).drop("s"),
-        "sources",
-    )
+    rate = F.when(F.col("weighted") > 0, F.col("target") / F.col("weighted")).otherwise(0.0)
+    same = F.col("s").eqNullSafe(F.col("source"))
+    sources = targets.withColumnRenamed("source", "s").join(sums.select("source", "weighted"), same).drop("s")
+    sources = stored(sources.withColumn("rate", rate).drop("weighted"), "sources")
+    if importance:
+        sources = _with_excess_dealt_out(slim, sources, most)
 
     def ranked(df):
         """Certain copies and rank of each row, by its source's target."""
-        rate = F.when(F.col("weighted") > 0, F.col("target") / F.col("weighted") * F.col("weight")).otherwise(0.0)
+        rate = F.col("rate") * F.col("weight")
         certain = F.floor(F.least(rate, F.lit(float(most))))
         chance = F.least(rate, F.lit(float(most))) - certain
         odds = (F.col("random") / (1 - F.col("random"))) / (chance / (1 - chance))
@@ -113,7 +135,7 @@ def mix(
         return df.join(facts, F.col(key).eqNullSafe(F.col("__s")), "left").drop("__s")
 
     bin_of = F.floor(F.col("rank") / (1 + F.col("rank")) * RANK_BINS)
-    placed = ranked(with_source(slim, ["weighted", "target"])).withColumn("bin", bin_of)
+    placed = ranked(with_source(slim, ["rate", "target"])).withColumn("bin", bin_of)
     by_bin = placed.groupBy("source", "bin").agg(
         F.sum(F.col("size") * F.col("certain")).alias("certain_words"), F.sum(F.when(F.col("rank").isNotNull(), F.col("size"))).alias("words")
     )
@@ -174,16 +196,12 @@ def mix(
         .join(cuts.alias("c"), F.col("a.source").eqNullSafe(F.col("c.source")), "left")
         .join(closing_rows.alias("k"), F.col("a.source").eqNullSafe(F.col("k.source")), "left")
         .select(
-            F.col("a.source").alias("__s"), "source_size", "weighted", "target", "cut", "k", "closing", "closing_k",
+            F.col("a.source").alias("__s"), "source_size", "rate", "target", "cut", "k", "closing", "closing_k",
             (F.col("m") + F.when(both, 1).otherwise(0)).alias("m"),
         ),
         "cuts",
     )
-    inner = rows.select(
-        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), "size", "__source",
-        F.col("__random").alias("random"), F.col("__weight").alias("weight"),
-    )
-    joined = ranked(inner.join(facts, F.col("__source").eqNullSafe(F.col("__s")), "left"))
+    joined = ranked(rows.join(facts, F.col("source").eqNullSafe(F.col("__s")), "left"))
     # Of so many rows of a step, so many are taken: nulls where all are, or none.
     at_cut = F.coalesce(here == F.col("cut"), F.lit(False))
     at_closing = F.coalesce(here == F.col("closing"), F.lit(False)) & ~at_cut
@@ -209,7 +227,7 @@ def _part_of(rows: DataFrame) -> DataFrame:
     Rows that agree in all columns are counted and counted only, so that a row repeated without
     end needs no numbers; unlike rows of a step are in order of their digest.
     """
-    step = ["__source", "rank", "size"]
+    step = ["source", "rank", "size"]
     digest = F.sha2(F.to_json("row"), 256).alias("digest")
     alike = stored(
         rows.groupBy(*step, digest).agg(
@@ -219,8 +237,8 @@ def _part_of(rows: DataFrame) -> DataFrame:
     )
     earlier = Window.partitionBy(*step).orderBy("digest").rowsBetween(Window.unboundedPreceding, -1)
     own = F.greatest(F.least(F.col("take") - F.coalesce(F.sum("n").over(earlier), F.lit(0)), F.col("n")), F.lit(0))
-    numbered = alike.select(*step, "digest", own.alias("own")).withColumnsRenamed({"__source": "s", "rank": "r", "size": "z", "digest": "d"})
-    same = F.col("__source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")) & (F.col("size") == F.col("z")) & (F.col("digest") == F.col("d"))
+    numbered = alike.select(*step, "digest", own.alias("own")).withColumnsRenamed({"source": "s", "rank": "r", "size": "z", "digest": "d"})
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")) & (F.col("size") == F.col("z")) & (F.col("digest") == F.col("d"))
     # Bundles of a bounded number of rows, written by several tasks.
     bundles = (
         alike.join(numbered, same)
