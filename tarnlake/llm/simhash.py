@@ -191,7 +191,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 4, blocks: int = 3, lea
     share = min(1.0, 1.2 * TREE_SAMPLE / total)
     # By the fingerprint itself, so that every run draws the same.
     drawn = prints.where(F.pmod(F.xxhash64(F.lit("tree"), "fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = unsigned([r[0] for r in drawn.orderBy(F.xxhash64(F.lit("order"), "fp")).limit(TREE_SAMPLE).collect()])
+    sample = unsigned([r[0] for r in drawn.orderBy(F.xxhash64(F.lit("order"), "fp")).limit(TREE_SAMPLE).select("fp").collect()])
     if len(sample) == 0:
         sample = np.zeros(1, dtype=np.uint64)
     rng = np.random.default_rng(SEED)
@@ -284,8 +284,8 @@ def drop_near_copies(
     # A row's name: rows that agree in it agree in all columns.
     name = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(of_row)])
     prints = stored(fingerprints(name, F.col(text_column), docs, shingle_words), "fingerprints")
-    kept = _rooted(prints, max_bits, leaf_size).groupBy("root").agg(F.min("first").alias("kept")).select("kept.*")
-    named = docs.withColumns({f"__c{i}": c for i, c in enumerate(of_row)})
-    same = [named[f"__c{i}"].eqNullSafe(kept[f"c{i}"]) for i in range(len(of_row))]
-    found = named.join(kept, reduce(Column.__and__, same), "left_semi")
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns]).distinct()
+    kept = _rooted(prints, max_bits, leaf_size).groupBy("root").agg(F.min("first").alias("kept"))
+    # Rows and names meet by a digest of the name; the join has brought equal rows together.
+    digest = lambda row: F.sha2(F.to_json(row), 256)
+    found = docs.select(F.struct("*").alias("row"), digest(name).alias("key")).join(kept.select(digest(F.col("kept")).alias("key")), "key", "left_semi")
+    return found.dropDuplicates(["key"]).select("row.*")

@@ -153,10 +153,7 @@ def test_url_models_tell_classes_apart():
     good, bad = [f"news.site/story/{i}" for i in range(200)], [f"casino-win.biz/spin/{i}" for i in range(200)]
 
     def counts(texts):
-        c, g, _ = urls.gram_buckets(texts)
-        size = 1 << urls.BITS
-        kinds = [np.bincount(np.unique(a << urls.BITS | b) >> urls.BITS, minlength=size) for a, b in zip(c, g)]
-        return urls.Counts(np.array([np.bincount(a, minlength=size) for a in c]), np.array(kinds), np.array([np.bincount(b, minlength=size) for b in g]))
+        return urls._counts(urls.ORDER, *np.unique(urls.gram_keys(texts)[0], return_counts=True))
 
     models = counts(good[:100]), counts(bad[:100])
     assert (urls.scores(good[100:], *models) > 0).all() and (urls.scores(bad[100:], *models) < 0).all()
@@ -267,10 +264,14 @@ def test_chat(spark):
     turns = "pair long, turn long, role string, text string"
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, 2, "user", None), (2, 0, "user", "x"), (None, 0, None, "q")]
     rejected = [(1, 0, "user", "hi"), (1, 1, "assistant", "no"), (2, 0, "user", "x"), (3, 0, "assistant", "alone"), (None, 0, None, "q")]
-    rows = {r["pair"]: r for r in chat.preference_pairs(*(spark.createDataFrame(t, turns) for t in (chosen, rejected)), "pair").collect()}
+    found = chat.preference_pairs(*(spark.createDataFrame(t, turns) for t in (chosen, rejected)), "pair").collect()
+    rows = {r["pair"]: r for r in found}
     assert rows[1]["n_common"] == 1 and rows[1]["prompt"] == "<|im_start|>user\nhi<|im_end|>\n"
     assert [(s["text"], s["trained"]) for s in rows[1]["chosen"]] == [
         ("<|im_start|>assistant\n", False), ("yes<|im_end|>\n", True), ("<|im_start|>user\n", False), ("<|im_end|>\n", False)
     ]
-    assert rows[2]["chosen"] == rows[2]["rejected"] == [] and rows[3]["n_turns"] == 0 and rows[None]["n_common"] == 1
+    assert rows[2]["chosen"] == rows[2]["rejected"] == [] and rows[3]["n_turns"] == 0
+    # Turns without a pair are gathered with nothing.
+    lone = sorted((r["n_turns"], r["n_common"], r["prompt"], len(r["chosen"]), len(r["rejected"])) for r in found if r["pair"] is None)
+    assert lone == [(0, 0, "", 0, 2), (1, 0, "", 2, 0)]
     assert chat.preference_pairs(*(spark.createDataFrame([], turns) for _ in "ab"), "pair").count() == 0
