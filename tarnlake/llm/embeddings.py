@@ -17,8 +17,10 @@ with a graph each, and the classes of every chunk search every graph, each two i
 own: the same links, and no task holds more than two chunks.
 """
 
+import logging
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from tarnlake.llm.common import prepare, stored
 from tarnlake.llm.components import components
 
+_log = logging.getLogger(__name__)
+
 THRESHOLD = 0.98
 #: Classes of a shard, about, before visitors; centroids are fitted on a sample of so many classes.
 #: A walk takes little longer in a larger shard, while smaller shards have more border to visit.
@@ -42,8 +46,9 @@ DEGREE, BEAM, ALPHA = 16, 32, 1.2
 SEARCH_PART = 2
 #: How much farther (in squared distance) than the range the search goes on.
 EXPANSION = 4.0
-#: Classes that audit the recall, and the recall to be reached.
-AUDIT_SAMPLE = 256
+#: The audit's sample of classes doubles from the first number until so many of them have links, to
+#: the last at most; and the recall to be reached, as a mean over classes with links.
+AUDIT_FIRST, AUDIT_LINKED, AUDIT_MOST = 512, 200, 16384
 MIN_RECALL = 0.95
 BATCH = 256
 
@@ -371,17 +376,36 @@ def _links(classes: DataFrame, threshold: float, degree: int, width: int) -> Dat
     return stored(searched, "vector-links")
 
 
-def audit_recall(classes: DataFrame, links: DataFrame, threshold: float) -> float:
-    """The share of links found, of a sample of classes compared with all classes of their label.
+@dataclass(frozen=True)
+class Audit:
+    """The mean share of a linked class' links that were found, over so many of a sample's classes."""
+
+    recall: float
+    linked: int
+    sample: int
+
 
-    The sample goes to every task; all classes pass by it once. 1.0 where there is no link.
+def audit_recall(classes: DataFrame, links: DataFrame, threshold: float) -> Audit:
+    """A sample of classes, by a hash of their keys, compared with all classes of their label.
+
+    The sample goes to every task; all classes pass by it once for each doubling. Where it
+    holds no class with links the recall is 1.
     """
-    total = classes.count()
-    if not total:
-        return 1.0
-    share = min(1.0, 1.5 * AUDIT_SAMPLE / total)
-    drawn = classes.where(F.pmod(F.xxhash64(F.lit("audit"), "key"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = drawn.orderBy("key").limit(AUDIT_SAMPLE).select("class", "label", "vector").collect()
+    place = F.xxhash64(F.lit("audit"), "key")
+    size = AUDIT_FIRST
+    while True:
+        sample = classes.orderBy(place, "key").limit(size).select("class", "label", "vector").collect()
+        truth = _true_links(classes, sample, threshold).groupBy("class").agg(F.sum("links").alias("all"))
+        found = links.groupBy("class").agg(F.sum("links").alias("found"))
+        share = F.least("all", F.coalesce("found", F.lit(0))) / F.col("all")
+        facts = truth.where("all > 0").join(found, "class", "left").agg(F.count(F.lit(1)).alias("linked"), F.avg(share).alias("recall")).first()
+        if facts["linked"] >= AUDIT_LINKED or len(sample) < size or size >= AUDIT_MOST:
+            return Audit(facts["recall"] if facts["linked"] else 1.0, facts["linked"], len(sample))
+        size *= 2
+
+
+def _true_links(classes: DataFrame, sample: list, threshold: float) -> DataFrame:
+    """(``class``, ``links``) of the sampled classes with each batch of all classes."""
     by_kind: dict = {}
     for r in sample:
         by_kind.setdefault((r["label"], len(r["vector"])), []).append((r["class"], r["vector"]))
@@ -400,13 +424,9 @@ def audit_recall(classes: DataFrame, links: DataFrame, threshold: float) -> floa
                 own = batch.column("class").to_numpy()[rows]
                 near &= ids[:, None] != own
                 counts = near @ batch.column("n").to_numpy()[rows]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts)], ["class", "links"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[counts > 0]), pa.array(counts[counts > 0])], ["class", "links"])
 
-    truth = classes.select("class", "label", "n", "vector").mapInArrow(compare, "class long, links long")
-    truth = truth.groupBy("class").agg(F.sum("links").alias("all"))
-    found = links.groupBy("class").agg(F.sum("links").alias("found"))
-    sums = truth.join(found, "class", "left").agg(F.sum("all").alias("all"), F.sum(F.least("all", F.coalesce("found", F.lit(0)))).alias("found")).first()
-    return sums["found"] / sums["all"] if sums["all"] else 1.0
+    return classes.select("class", "label", "n", "vector").mapInArrow(compare, "class long, links long")
 
 
 def embedding_dedup(
@@ -425,7 +445,7 @@ def embedding_dedup(
     of different lengths. Repeated rows are linked vectors. A null id names no component with
     ids. Other columns are not read. An empty table gives an empty result.
 
-    If the audited recall is below ``MIN_RECALL``, graph and search are repeated at twice the
+    The audited recall is logged. If it is below ``MIN_RECALL``, graph and search are repeated at twice the
     degree and beam, up to 8 times; then an error is raised.
     """
     prepare(vectors.sparkSession)
@@ -442,11 +462,12 @@ def embedding_dedup(
     degree, width = DEGREE, BEAM
     while True:
         links = _links(classes, threshold, degree, width)
-        recall = audit_recall(classes, links, threshold)
-        if recall >= MIN_RECALL:
+        audit = audit_recall(classes, links, threshold)
+        _log.info("recall %.4f over %d linked classes of %d, degree %d", audit.recall, audit.linked, audit.sample, degree)
+        if audit.recall >= MIN_RECALL:
             break
         if degree >= 8 * DEGREE:
-            raise RuntimeError(f"the graphs reach a recall of {recall:.3f} only")
+            raise RuntimeError(f"the graphs reach a recall of {audit.recall:.3f} only")
         degree, width = 2 * degree, 2 * width
     roots = components(links.select(F.col("class").alias("a"), F.col("with").alias("b")))
     direct = links.groupBy("class").agg(F.sum("links").alias("links"))
