@@ -160,12 +160,12 @@ def test_url_models_tell_classes_apart():
 
 
 def test_licenses(spark, none):
-    apache = licenses.TEMPLATES["Apache-2.0"]
+    apache = licenses.TEMPLATES["Apache-2.0"][0]
     texts = [(1, f"x {apache.upper()} y"), (2, None), (3, ""), (4, "MIT"), (5, LONG + apache + " " + LONG), (None, apache), (5, apache)]
     rows = licenses.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["license"], r["end_word"] - r["first_word"]) for r in rows) == [(0, "Apache-2.0", 7), (1, "Apache-2.0", 7), (5, "Apache-2.0", 7), (5, "Apache-2.0", 7)]
     assert licenses.license_scan(none).count() == 0
-    grant = licenses.TEMPLATES["MIT-grant"].split()
+    grant = licenses.TEMPLATES["MIT-grant"][0].split()
     known = licenses.Templates(licenses.TEMPLATES)
     edited = " ".join(["so"] * 30 + grant[1:] + ["so"] * 30)
     assert [p[0] for p in licenses.passages([edited, " ".join(grant[::-1])], known)[0]] == ["MIT-grant"]
