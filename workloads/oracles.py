@@ -118,9 +118,11 @@ ORACLES = {
     "scan_delimited_csv": "SELECT * FROM part",
     "csv_redelimit": """SELECT * REPLACE (' "' || c_name || '"; , ' AS c_name) FROM customer""",
     "csv_clean_profile": """
-        SELECT 0 AS position, 'c_custkey' AS column_name, count(*) FILTER (c_custkey IS NULL) AS null_count FROM customer
-        UNION ALL SELECT 1, 'c_acctbal', count(*) FILTER (c_acctbal < 0) FROM customer
-        UNION ALL SELECT 2, 'c_mktsegment', count(*) FILTER (c_mktsegment = 'MACHINERY') FROM customer""",
+        SELECT 0 AS position, 'c_custkey' AS column_name,
+               CASE WHEN max(c_custkey) <= 2147483647 THEN 'int' ELSE 'bigint' END AS data_type,
+               count(*) FILTER (c_custkey IS NULL) AS null_count FROM customer
+        UNION ALL SELECT 1, 'c_acctbal', 'double', count(*) FILTER (c_acctbal < 0) FROM customer
+        UNION ALL SELECT 2, 'c_mktsegment', 'string', count(*) FILTER (c_mktsegment = 'MACHINERY') FROM customer""",
     "load_dimension": f"WITH {_methods()} SELECT *, substr(END_YEAR, 1, 4) AS end_date FROM all_methods",
     "ddl_create_if_absent": "SELECT * FROM customer",
     "sink_append": "SELECT * FROM orders",

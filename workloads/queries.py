@@ -55,7 +55,6 @@ from tarnlake.streaming import (
     finish,
     ingest,
     parse_messages,
-    progress_rows,
     replay,
     store_batch,
     store_batches,
@@ -120,7 +119,7 @@ def csv_clean_profile(spark, d):
     )
     source, target = work_folder(spark, "csv"), work_folder(spark, "csv")
     write_delimited(customer, source, ";")
-    return clean_file(spark, source, target).drop("data_type")
+    return clean_file(spark, source, target)
 
 
 def load_dimension_query(spark, d):
@@ -580,8 +579,13 @@ def state_yearly_metrics(spark, d):
 
 
 def stream_progress(spark, d):
-    query, _, _ = _ingested(spark, d)
-    return progress_rows(spark, query).agg(
+    log = ProgressLog(spark, work_folder(spark, "log"))
+    spark.streams.addListener(log)
+    try:
+        query, _, _ = _ingested(spark, d)
+    finally:
+        log.close()
+    return log.rows().where(F.col("query_id") == query.id).agg(
         F.sum("row_count").cast("long").alias("rows_seen"),
         F.count_if(F.col("seconds") <= 0).alias("untimed_batches"),
     )
