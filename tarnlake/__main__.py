@@ -95,7 +95,7 @@ def report(spark, args):
         read_table(spark, args.sites),
         read_table(spark, args.methods).select(*METHOD_COLUMNS),
         collapse_samples=not args.all_samples,
-        spread=int(args.spread),
+        spread=int(args.spread) if args.spread else None,
     )
     version = latest_batch(ledger).first()["version_id"]
     folder = args.reconciliation or f"{args.joined.rstrip('/')}-reconciliation"
@@ -137,7 +137,7 @@ def parser():
     job("ingest", ingest_messages, "source", "store", "checkpoint", progress=None, messages_per_batch=None, table=None, **stream)
     job("compact-ledger", compact_ledger, "store")
     job("load-dimensions", load_dimensions, "methods-file", "sites-file", "methods", "sites")
-    job("report", report, "store", "sites", "methods", "joined", "metrics", reconciliation=None, spread="1").add_argument(
+    job("report", report, "store", "sites", "methods", "joined", "metrics", reconciliation=None, spread=None).add_argument(
         "--all-samples", action="store_true", help="yearly means over all samples of a site"
     )
     return top

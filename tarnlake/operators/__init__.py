@@ -3,6 +3,7 @@
 from tarnlake.operators.batches import between, latest_batch, latest_slice, ledger_rows
 from tarnlake.operators.checks import assert_not_empty, check_not_empty, null_profile, preview
 from tarnlake.operators.enrich import enrich, enrich_sql
+from tarnlake.operators.heavy import heavy_keys
 from tarnlake.operators.history import latest_per_key, row_number_desc
 from tarnlake.operators.metrics import annual_metrics, count_rows, date_range
 from tarnlake.operators.sets import distinct_ids, except_all, reconcile_ids
@@ -18,6 +19,7 @@ __all__ = [
     "enrich",
     "enrich_sql",
     "except_all",
+    "heavy_keys",
     "latest_batch",
     "latest_per_key",
     "latest_slice",

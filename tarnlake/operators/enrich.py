@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.operators.heavy import KEY, find_heavy, heavy_table, key_hash, usual_tasks
+
 SITE_KEYS = ("SITE_ID", "PROGRAM_ID")
 PROGRAM_KEY = "PROGRAM_ID"
 
@@ -13,7 +15,7 @@ def enrich(
     methods: DataFrame,
     site_keys=SITE_KEYS,
     program_key=PROGRAM_KEY,
-    spread: int = 1,
+    spread: int | None = None,
 ) -> DataFrame:
     """``samples LEFT JOIN sites LEFT JOIN methods``, methods through the *site's* program.
 
@@ -22,9 +24,15 @@ def enrich(
     row with a NULL program then takes part in the second join. Join strategies are left
     to Spark, which broadcasts a side only below its size limit and splits hot keys.
 
-    Spark splits a hot key along the files it comes from. Where a few files hold all of it,
-    ``spread`` says over how many tasks the samples of a site go; sites are copied as often.
-    Samples without a site id, which meet no site, are dealt out the same way.
+    Spark splits a hot key along the files it comes from, and not at all where a few files hold
+    all of it. So where the sites are too large to be broadcast, one pass over the samples' keys
+    finds the sites that hold more than two tasks' share of them. Only their samples are dealt out, over
+    as many tasks as they would fill four times over, and only these sites are copied as often.
+    Samples without a site id, which meet no site, are dealt out the same way. Keys whose type
+    differs between the tables are left to Spark.
+
+    With ``spread`` nothing is searched for: samples of every site go over that many tasks, and 1
+    says that no site is hot.
 
     A column that two tables share gets the suffix of the later one (``_METHODE``, ``_SITE``).
     """
@@ -36,9 +44,10 @@ def enrich(
     )
     left = samples.withColumnsRenamed(sample_names)
     same_site = [F.col(f"{k}_LTM") == F.col(f"{k}_SITE") for k in site_keys]
-    if spread > 1:
-        left = left.withColumn("__part_l", _part(left, spread))
-        described = described.withColumn("__part_r", _copies(spread))
+    parts = _parts(samples, sites, site_keys, spread)
+    if parts:
+        left = _dealt(left, [f"{k}_LTM" for k in site_keys], parts, "__part_l")
+        described = _copied(described, [f"{k}_SITE" for k in site_keys], parts, "__part_r")
         same_site.append(F.col("__part_l") == F.col("__part_r"))
     joined = left.join(described, same_site, "left")
     return joined.select(*map(_quoted, [*sample_names.values(), *method_names.values(), *site_names.values()]))
@@ -50,7 +59,7 @@ def enrich_sql(
     methods: DataFrame,
     site_keys=SITE_KEYS,
     program_key=PROGRAM_KEY,
-    spread: int = 1,
+    spread: int | None = None,
 ) -> DataFrame:
     """``enrich`` as SQL text over the three frames, without global view names."""
     columns = ", ".join(
@@ -59,8 +68,9 @@ def enrich_sql(
         for c, name in names.items()
     )
     same_site = " AND ".join(f"s.`{k}` = t.`{k}`" for k in site_keys)
-    if spread > 1:
-        samples, sites = samples.withColumn("__part", _part(samples, spread)), sites.withColumn("__part", _copies(spread))
+    parts = _parts(samples, sites, site_keys, spread)
+    if parts:
+        samples, sites = (f(t, site_keys, parts, "__part") for f, t in ((_dealt, samples), (_copied, sites)))
         same_site += " AND s.__part = t.__part"
     return samples.sparkSession.sql(
         f"""
@@ -75,13 +85,45 @@ def enrich_sql(
     )
 
 
-def _part(df, spread):
+def _parts(samples, sites, site_keys, spread):
+    """Over how many tasks the samples of a site go: a number for all, or a number by hash of the site."""
+    if spread is not None:
+        return spread if spread > 1 else None
+    if samples.isStreaming or _broadcastable(sites) or any(
+        samples.select(_quoted(k)).schema[0].dataType != sites.select(_quoted(k)).schema[0].dataType for k in site_keys
+    ):
+        return None
+    tasks = usual_tasks(samples.sparkSession)
+    found = find_heavy(samples, site_keys, 2 / tasks)
+    return found.pieces(found.total / (4 * tasks)) if found.rows else None
+
+
+def _broadcastable(df):
+    """Whether Spark, by its own estimate and limit, would send the table to every task."""
+    state = df.sparkSession._jsparkSession.sessionState()
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= state.conf().autoBroadcastJoinThreshold()
+
+
+def _dealt(df, keys, parts, name):
     """By the row's own values, so that a task that runs again deals rows out alike."""
-    return F.pmod(F.xxhash64(*map(_quoted, df.columns)), F.lit(spread)).cast("int")
+    row = F.xxhash64(*map(_quoted, df.columns))
+    if isinstance(parts, int):
+        return df.withColumn(name, F.pmod(row, F.lit(parts)))
+    numbered = df.withColumn("__row", row).withColumn(KEY, key_hash(keys))
+    joined = numbered.join(heavy_table(df.sparkSession, parts, "__parts"), KEY, "left")
+    return joined.withColumn(name, F.pmod("__row", F.coalesce("__parts", F.lit(1)))).drop(KEY, "__row", "__parts")
+
+
+def _copied(df, keys, parts, name):
+    if isinstance(parts, int):
+        return df.withColumn(name, _copies(F.lit(parts)))
+    joined = df.withColumn(KEY, key_hash(keys)).join(heavy_table(df.sparkSession, parts, "__parts"), KEY, "left")
+    return joined.withColumn(name, _copies(F.coalesce("__parts", F.lit(1)))).drop(KEY, "__parts")
 
 
-def _copies(spread):
-    return F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+def _copies(number):
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), number.cast("bigint") - 1))
 
 
 def _names(samples, sites, methods, site_keys, program_key):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tarnlake.functions.dates import order_date, resolve_column
+from tarnlake.operators.heavy import KEY, find_heavy, heavy_table, key_hash, usual_tasks
 from tarnlake.session import work_folder
 
 _ORDER, _SLICE, _BEFORE = "__order_date", "__slice", "__rows_before"
@@ -60,21 +61,37 @@ def row_number_desc(
 ) -> DataFrame:
     """Number the rows of each key from the newest on, ties by descending ``tie_break``.
 
-    A window puts all rows of a key into one task. Where a key is too hot for that, give
-    ``rows_per_task``: the table is then cut into sorted slices of about that many rows, each
-    slice is numbered by itself, and a key that goes over several slices adds the rows that
-    come before. The numbers, of type ``bigint``, are the same either way.
+    A window puts all rows of a key into one task. Keys with more than two tasks' share of the
+    rows are found first, in a pass over the key columns, and their rows alone are cut into sorted
+    slices: each slice is numbered by itself, and a key that goes over several slices adds the
+    rows that come before. With ``rows_per_task`` nothing is searched for and the whole table goes
+    into slices of about that many rows. The numbers, of type ``bigint``, are the same either way.
+
+    Where there are heavy keys the table is read once for them and once for the others, so its
+    rows must be the same each time.
     """
     keys, order_by = [resolve_column(df, k) for k in keys], resolve_column(df, order_by)
     newest_first = [F.col(f"`{c}`").desc_nulls_last() for c in [order_by, *(resolve_column(df, t) for t in tie_break)]]
-    if rows_per_task is None:
-        window = Window.partitionBy(*_cols(keys)).orderBy(*newest_first)
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
-
-    slices = max(
-        math.ceil(df.count() / rows_per_task) * 2,
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+    tasks = usual_tasks(df.sparkSession)
+    if rows_per_task is not None:
+        slices = max(math.ceil(df.count() / rows_per_task) * 2, tasks)
+        return _numbered_in_slices(df, keys, newest_first, name, slices)
+    heavy = find_heavy(df, keys, 2 / tasks).rows
+    if not heavy:
+        return _numbered(df, keys, newest_first, name)
+    marked, hot = df.withColumn(KEY, key_hash(keys)), heavy_table(df.sparkSession, heavy)
+    others, few = (marked.join(hot, KEY, how).select(*_cols(df.columns)) for how in ("left_anti", "left_semi"))
+    return _numbered(others, keys, newest_first, name).unionByName(
+        _numbered_in_slices(few, keys, newest_first, name, tasks)
     )
+
+
+def _numbered(df, keys, newest_first, name):
+    window = Window.partitionBy(*_cols(keys)).orderBy(*newest_first)
+    return df.withColumn(name, F.row_number().over(window).cast("long"))
+
+
+def _numbered_in_slices(df, keys, newest_first, name, slices):
     folder = work_folder(df.sparkSession, "sorted-slices")
     (
         df.repartitionByRange(slices, *_cols(keys), *newest_first)

@@ -53,7 +53,7 @@ def build_report(
     method_tie_break: tuple[str, ...] = (),
     measures: dict[str, str] = METRIC_COLUMNS,
     ties_are_unique: bool = False,
-    spread: int = 1,
+    spread: int | None = None,
 ) -> Report:
     """All three results as lazy DataFrames.
 
@@ -63,11 +63,14 @@ def build_report(
     newest row, so a sample never multiplies.
 
     ``ties_are_unique`` declares that the tie-break columns tell rows of a key apart; what
-    the metrics do not use is then not read. ``spread`` is that of ``enrich``.
+    the metrics do not use is then not read. ``spread`` is that of ``enrich``; where each site
+    has one sample left, no site is hot and none is searched for.
     """
     if ledger is not None:
         samples = latest_slice(samples, sample_date, ledger)
     if collapse_samples:
+        if spread is None and set(sample_keys) <= set(site_keys):
+            spread = 1
         samples = latest_per_key(samples, list(sample_keys), sample_date, list(sample_tie_break), ties_are_unique)
     sites = latest_per_key(sites, list(site_keys), site_date, list(site_tie_break), ties_are_unique)
     methods = latest_per_key(methods, [program_key], method_date, list(method_tie_break), ties_are_unique)

@@ -97,6 +97,13 @@ _SHARED_NAMES = f"""
     WITH {_samples()}, {_sites()}, {_methods()}
     {_joined("s.SAMPLE_NO, s.SO4_UEQ_L AS STATE, m.METHOD AS STATE_METHODE, t.STATE AS STATE_SITE")}"""
 
+_HOT_PARTS = """
+    hot_parts AS (
+      SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS part,
+             l_shipdate, l_orderkey, l_linenumber, l_quantity
+      FROM lineitem
+    )"""
+
 _JOINED_METRIC_COLUMNS = "s.SITE_ID, s.PROGRAM_ID, s.DATE_SMP, s.PH_LAB, s.SO4_UEQ_L, s.NO3_UEQ_L"
 
 _LATEST_METRICS = f"""
@@ -178,6 +185,15 @@ ORACLES = {
         SELECT o_custkey, o_orderdate, o_orderkey,
                CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS BIGINT) AS row_num
         FROM orders""",
+    "row_number_hot_key": f"""
+        WITH {_HOT_PARTS}
+        SELECT part, l_shipdate, l_orderkey, l_linenumber,
+               CAST(row_number() OVER (PARTITION BY part ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS BIGINT) AS row_num
+        FROM hot_parts""",
+    "heavy_keys": f"""
+        WITH {_HOT_PARTS}
+        SELECT part, count(*) AS n_rows FROM hot_parts GROUP BY part
+        HAVING count(*) >= 10000 AND count(*) > 0.01 * (SELECT count(*) FROM hot_parts)""",
     "scd1_latest": f"WITH {_samples()} {_newest('samples')}",
     "scd1_latest_composite": """
         SELECT * FROM events
@@ -194,6 +210,12 @@ ORACLES = {
             t.PROGRAM_ID AS PROGRAM_ID_SITE, m.PROGRAM_ID AS PROGRAM_ID_METHODE, m.METHOD''')}""",
     "enrich_left_join": _FULL_JOIN,
     "enrich_left_join_sql": _FULL_JOIN,
+    "enrich_hot_site": f"""
+        WITH {_HOT_PARTS}, {_methods()}
+        SELECT l_orderkey, l_linenumber, l_quantity AS VALUE, part AS SITE_ID_LTM, o_orderkey AS SITE_ID_SITE,
+               o_totalprice AS SIZE, m.METHOD
+        FROM hot_parts LEFT JOIN orders ON part = o_orderkey
+        LEFT JOIN methods AS m ON o_orderkey % 5 = m.PROGRAM_ID""",
     "enrich_shared_names": _SHARED_NAMES,
     "enrich_shared_names_sql": _SHARED_NAMES,
     "count_rows": "SELECT count(*) AS row_count FROM events",

@@ -22,6 +22,7 @@ from tarnlake.operators import (
     distinct_ids,
     enrich,
     enrich_sql,
+    heavy_keys,
     except_all,
     latest_batch,
     latest_per_key,
@@ -250,6 +251,22 @@ def row_number_desc_query(spark, d):
     return row_number_desc(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
 
+def hot_parts(spark, d):
+    """Line items with a third of all rows on one part."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_partkey")).alias("part")
+    return table(spark, d, "lineitem").select(part, "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
+
+
+def heavy_keys_query(spark, d):
+    return heavy_keys(hot_parts(spark, d), ["part"], share=0.01)
+
+
+def row_number_hot_key(spark, d):
+    """The hot part's rows are numbered slice by slice, with nothing said about it."""
+    lines = hot_parts(spark, d).drop("l_quantity")
+    return row_number_desc(lines, ["part"], "l_shipdate", ["l_orderkey", "l_linenumber"])
+
+
 def scd1_latest(spark, d):
     return latest_per_key(samples(spark, d), ["SITE_ID"], "DATE_SMP", ["SAMPLE_NO"])
 
@@ -289,6 +306,17 @@ def enrich_left_join_sql(spark, d):
     return enrich_sql(samples(spark, d), sites(spark, d), newest_methods(spark, d))
 
 
+def enrich_hot_site(spark, d):
+    """A third of the samples belong to one site, which is found where sites are not broadcast."""
+    samples = hot_parts(spark, d).withColumnsRenamed({"part": "SITE_ID", "l_quantity": "VALUE"})
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("SITE_ID"), F.col("o_totalprice").alias("SIZE"))
+    described = orders.withColumn("PROGRAM_ID", F.col("SITE_ID") % 5)
+    joined = enrich(
+        samples.withColumn("PROGRAM_ID", F.col("SITE_ID") % 5), described, newest_methods(spark, d)
+    )
+    return joined.select("l_orderkey", "l_linenumber", "VALUE", "SITE_ID_LTM", "SITE_ID_SITE", "SIZE", "METHOD")
+
+
 def enrich_shared_names(spark, d, form=enrich):
     """All three tables have a column STATE; samples of a site go to eight tasks."""
     measured = samples(spark, d).withColumn("STATE", F.col("SO4_UEQ_L"))
@@ -613,6 +641,8 @@ QUERIES = {
     "project_alias": project_alias,
     "batch_slice_range": batch_slice_range,
     "row_number_desc": row_number_desc_query,
+    "row_number_hot_key": row_number_hot_key,
+    "heavy_keys": heavy_keys_query,
     "scd1_latest": scd1_latest,
     "scd1_latest_composite": scd1_latest_composite,
     "scd1_latest_year_text": scd1_latest_year_text,
@@ -620,6 +650,7 @@ QUERIES = {
     "left_join_chained": left_join_chained,
     "enrich_left_join": enrich_left_join,
     "enrich_left_join_sql": enrich_left_join_sql,
+    "enrich_hot_site": enrich_hot_site,
     "enrich_shared_names": enrich_shared_names,
     "enrich_shared_names_sql": enrich_shared_names_sql,
     "count_rows": count_rows_query,
