@@ -14,7 +14,7 @@ double precision; a bounded sample of classes, compared with all others, audits
 
 A shard may be crowded, as no border parts a dense group of vectors. It is then cut into chunks
 with a graph each, and the classes of every chunk search every graph, each two in a task of their
-own: the same links, and no task holds more than two chunks.
+own: the same links, and no task holds more than two chunks. A chunk is bounded in rows and in bytes.
 """
 
 import logging
@@ -40,6 +40,10 @@ CENTROID_SAMPLE = 50_000
 MAX_SHARDS = 4096
 #: Classes of a shard, visitors included, above which it is cut into chunks of that size.
 CELL_SIZE = 4 * SHARD_SIZE
+#: What the vectors of a chunk may take, in double and single precision: long vectors make smaller chunks.
+CELL_BYTES = 128 << 20
+#: Distances between classes and centroids that a task holds at a time.
+DISTANCES_AT_ONCE = 1 << 22
 #: Neighbours kept per node, width of the beam that builds, and how far pruning lets a detour go.
 DEGREE, BEAM, ALPHA = 16, 32, 1.2
 #: The beam that searches is this part of it: it has to come near, the range does the rest.
@@ -250,16 +254,18 @@ def _placer(centroids, radius):
             lengths = np.array([len(v) for v in batch.column("vector")], dtype=np.int64)
             shards = [[0]] * len(batch)
             for label, length in set(zip(labels.tolist(), lengths.tolist())) & set(centroids):
-                rows = np.flatnonzero((labels == label) & (lengths == length))
+                of_label = np.flatnonzero((labels == label) & (lengths == length))
                 centers = centroids[label, length]
-                x = _unit(_matrix(batch.column("vector").take(pa.array(rows))))
-                away = 2 - 2 * (x @ centers.T)
-                home = away.argmin(axis=1)
-                apart = np.sqrt(np.maximum(2 - 2 * (centers @ centers.T), 1e-30))[home]
-                border = (away - away[np.arange(len(rows)), home][:, None]) / (2 * apart)
-                visits = border <= radius / 2 + 1e-9
-                for row, own, seen in zip(rows.tolist(), home.tolist(), visits):
-                    shards[row] = [own, *(s for s in np.flatnonzero(seen).tolist() if s != own)]
+                step = max(1, DISTANCES_AT_ONCE // len(centers))
+                for rows in np.split(of_label, range(step, len(of_label), step)):
+                    x = _unit(_matrix(batch.column("vector").take(pa.array(rows))))
+                    away = 2 - 2 * (x @ centers.T)
+                    home = away.argmin(axis=1)
+                    apart = np.sqrt(np.maximum(2 - 2 * (centers[home] @ centers.T), 1e-30))
+                    border = (away - away[np.arange(len(rows)), home][:, None]) / (2 * apart)
+                    visits = border <= radius / 2 + 1e-9
+                    for row, own, seen in zip(rows.tolist(), home.tolist(), visits):
+                        shards[row] = [own, *(s for s in np.flatnonzero(seen).tolist() if s != own)]
             counts = [len(s) for s in shards]
             at = np.repeat(np.arange(len(batch)), counts)
             flat = np.array([s for own in shards for s in own], dtype=np.int32)
@@ -340,7 +346,9 @@ def _search(group: pa.Table, threshold: float, width: int) -> pa.Table:
 
 def _chunked(placed: DataFrame) -> DataFrame:
     """``placed`` with the ``chunk`` of each class and the number of ``chunks`` of its shard."""
-    counts = placed.groupBy(*_SHARD).agg(F.ceil(F.count(F.lit(1)) / CELL_SIZE).alias("chunks"))
+    fitting = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(CELL_BYTES) / (12 * F.col("length"))))
+    size = F.least(F.lit(CELL_SIZE).cast("long"), fitting)
+    counts = placed.groupBy(*_SHARD).agg(F.count(F.lit(1)).alias("n")).select(*_SHARD, F.ceil(F.col("n") / size).alias("chunks"))
     cut = stored(counts.where("chunks > 1"), "cut-shards")
     chunks = F.coalesce("chunks", F.lit(1).cast("long"))
     return placed.join(cut, list(_SHARD), "left").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("class"), "chunks"))
