@@ -33,6 +33,9 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES)
     is above ``most`` times its source; what is over goes to the others by weight until none
     is above. Sources that hit the bound are those with the least size per weight, so one
     sorted pass finds them, in whole numbers up to the last division.
+
+    That pass is one task with a row per source: it grows with the number of sources alone. A column
+    of some million different values is better mapped to fewer sources first.
     """
     in_turn = Window.orderBy(F.col("source").asc_nulls_last())
     place = F.pmod(F.row_number().over(in_turn) - 1, F.lit(len(weights))).cast("int")
