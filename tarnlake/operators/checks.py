@@ -24,13 +24,18 @@ def preview(df: DataFrame, order_by: list[str], rows: int = 20) -> DataFrame:
     return df.orderBy(*order_by).limit(rows)
 
 
-def check_not_empty(df: DataFrame, name: str) -> DataFrame:
-    """One row (``check_name``, ``passed``, ``row_count``)."""
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+def check_not_empty(df: DataFrame, name: str, counted: bool = True) -> DataFrame:
+    """One row (``check_name``, ``passed``, ``row_count``).
+
+    Without ``counted`` the table is read until it shows a row, and ``row_count`` is left out.
+    """
+    rows = df if counted else df.limit(1)
+    checked = rows.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(f"{name} is not empty").alias("check_name"),
         (F.col("row_count") > 0).alias("passed"),
         "row_count",
     )
+    return checked if counted else checked.drop("row_count")
 
 
 def assert_not_empty(df: DataFrame, name: str) -> None:

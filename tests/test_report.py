@@ -121,6 +121,9 @@ def test_checks(stored):
     assert tuple(check_not_empty(result, "metrics").first()) == ("metrics is not empty", True, 3)
     none = result.filter("YEAR < 0")
     assert tuple(check_not_empty(none, "metrics").first()) == ("metrics is not empty", False, 0)
+    looks = [check_not_empty(df, "metrics", counted=False) for df in (result, none)]
+    assert [tuple(df.first()) for df in looks] == [("metrics is not empty", True), ("metrics is not empty", False)]
+    assert "Limit 1" in looks[0]._jdf.queryExecution().optimizedPlan().toString()
     with pytest.raises(AssertionError):
         assert_not_empty(none, "metrics")
 
