@@ -19,12 +19,19 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, null and empty texts with them (under 50 words).
+
+    Null and repeated ids are judged row by row; of an empty table nothing is left.
+    """
     return quality_rules(docs, table(spark, sf_dir, "labels")).where("kept").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose lines that an earlier document holds; ``n_chars`` follows the text."""
+    """Texts lose lines that an earlier document holds; ``n_chars`` follows the text.
+
+    No row goes: a text may end up empty, a null text becomes empty. A null id comes after all
+    others. An empty table gives an empty result.
+    """
     kept = line_dedup(docs)
     return kept.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
@@ -39,14 +46,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, from not at all to three times."""
+    """Each document as often as the mix takes it, from not at all to three times.
+
+    Null sources are one source. A text without words costs the target nothing and comes as often
+    as all of its source do at least, be that once. An empty table gives an empty result.
+    """
     prepare(spark)
     mixed = mix(docs).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences with their token ids."""
+    """Pieces of training sequences with their token ids; each row that comes is packed for itself.
+
+    A null or empty text is its end token alone. Null and repeated ids pass through; an empty
+    table gives an empty result.
+    """
     return pack(docs, TOKENIZER)
 
 
