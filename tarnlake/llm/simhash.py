@@ -27,10 +27,14 @@ from tarnlake.llm.components import components
 SEED = 42
 #: Shingles hashed at a time, which bounds the memory that one very long text takes.
 SHINGLES_AT_ONCE = 1 << 18
-#: The trees are grown on a sample of so many fingerprints, whatever the size of the corpus.
+#: The trees are grown on a sample of so many fingerprints, or of so many per leaf.
 TREE_SAMPLE = 200_000
-MAX_LEAVES = 1 << 15
-MAX_DEPTH = 24
+SAMPLE_PER_LEAF = 6
+#: A tree's leaves follow the number of fingerprints up to this; a range of bits has 8 times as many values.
+MAX_LEAVES = 1 << 18
+MAX_DEPTH = 32
+#: Fingerprints that go down a tree together.
+PLACED_AT_ONCE = 1 << 16
 
 
 def fingerprint(text: str | None, shingle_words: int = 4) -> int:
@@ -115,12 +119,17 @@ class Tree:
         return -self.leaves
 
     def place(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, leaf, at home) for every shard that each fingerprint is at home in or visits."""
+        """(row, leaf, at home) for every shard that each fingerprint is at home in or visits.
+
+        With a radius of 1 the ball around a fingerprint holds one point per bit. Each of them moves a
+        bit nearer to a vantage point or farther from it, so a visitor takes along the flips that can
+        still be on its side, and turns back where none is left: it visits no shard without such a point.
+        """
         rows, leaves, homes = [], [], []
-        todo = [(self.root, np.arange(len(points)), np.ones(len(points), dtype=bool))]
         points = points & self.mask
+        todo = [(self.root, np.arange(len(points)), np.ones(len(points), dtype=bool), np.full(len(points), self.mask))]
         while todo:
-            node, at, home = todo.pop()
+            node, at, home, flips = todo.pop()
             if not len(at):
                 continue
             if node < 0:
@@ -128,16 +137,22 @@ class Tree:
                 leaves.append(np.full(len(at), -node - 1, dtype=np.int32))
                 homes.append(home)
                 continue
-            away = np.bitwise_count(points[at] ^ self.vantage[node]).astype(np.int64) - self.boundary[node]
+            differing = points[at] ^ self.vantage[node]
+            away = np.bitwise_count(differing).astype(np.int64) - self.boundary[node]
             inside = away <= 0
-            todo.append((self.inner[node], at[inside], home[inside]))
-            # The outer side's own points, and inner points whose ball reaches beyond the boundary.
+            if self.radius == 1:
+                inward = np.where(away < 0, flips, np.where(away <= 1, flips & differing, np.uint64(0)))
+                outward = flips & ~inward
+                reaches_in, reaches_out = inward != 0, outward != 0
+            else:
+                inward = outward = flips
+                reaches_in, reaches_out = away <= self.radius, away > -self.radius
+            # The inner end of a parted pair visits the outer side; one at home outside stays there.
             # A visitor at home elsewhere goes on to every side its ball touches.
-            near = inside & (away > -self.radius)
-            over = ~inside | near
-            todo.append((self.outer[node], at[over], home[over] & ~inside[over]))
-            back = ~inside & ~home & (away <= self.radius)
-            todo.append((self.inner[node], at[back], home[back]))
+            into = np.where(home, inside, reaches_in)
+            over = np.where(home, ~inside | reaches_out, reaches_out)
+            todo.append((self.inner[node], at[into], home[into], inward[into]))
+            todo.append((self.outer[node], at[over], home[over] & ~inside[over], outward[over]))
         return np.concatenate(rows or [np.empty(0, np.int64)]), np.concatenate(leaves or [np.empty(0, np.int32)]), np.concatenate(homes or [np.empty(0, bool)])
 
 
@@ -177,41 +192,55 @@ def shard_links(points: np.ndarray, home: np.ndarray, max_bits: int) -> tuple[np
     return np.concatenate(found_from), np.concatenate(found_to)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The fingerprints of several batches at a time."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(unsigned(batch.column("fp").to_numpy(zero_copy_only=False)))
+        count += len(batch)
+        if count >= PLACED_AT_ONCE:
+            yield np.concatenate(held)
+            held, count = [], 0
+    if count:
+        yield np.concatenate(held)
+
+
 def fingerprint_links(prints: DataFrame, max_bits: int = 4, blocks: int = 3, leaf_size: int = 1000, cell_size: int = 8192) -> DataFrame:
     """(``a``, ``b``): links that connect distinct fingerprints ``fp`` as all pairs within ``max_bits`` do.
 
-    Only a sample of ``TREE_SAMPLE`` fingerprints comes to the driver, to grow the trees. A shard of more than ``cell_size`` points is
-    dealt into chunks, and every two chunks meet in a task of their own.
+    Only a sample of ``TREE_SAMPLE`` fingerprints (``SAMPLE_PER_LEAF`` times ``MAX_LEAVES`` at most: 13 MB) comes to the driver,
+    to grow the trees. A shard of more than ``cell_size`` points is dealt into chunks, and every two chunks meet in a task of their own.
     """
     spark = prints.sparkSession
     total = prints.count()
     schema = "a long, b long"
     if total < 2:
         return spark.createDataFrame([], schema)
-    share = min(1.0, 1.2 * TREE_SAMPLE / total)
+    leaves = max(1, min(MAX_LEAVES, total // leaf_size))
+    wanted = max(TREE_SAMPLE, SAMPLE_PER_LEAF * leaves)
+    share = min(1.0, 1.2 * wanted / total)
     # By the fingerprint itself, so that every run draws the same.
     drawn = prints.where(F.pmod(F.xxhash64(F.lit("tree"), "fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = unsigned([r[0] for r in drawn.orderBy(F.xxhash64(F.lit("order"), "fp")).limit(TREE_SAMPLE).select("fp").collect()])
+    sample = unsigned(drawn.orderBy(F.xxhash64(F.lit("order"), "fp")).limit(wanted).select("fp").toArrow().column("fp").to_numpy())
     if len(sample) == 0:
         sample = np.zeros(1, dtype=np.uint64)
     rng = np.random.default_rng(SEED)
-    leaves = max(1, min(MAX_LEAVES, total // leaf_size))
     radius = max_bits // blocks
     trees = [Tree(sample, mask, radius, leaves, rng) for mask in masks(blocks)]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = unsigned(batch.column("fp").to_numpy(zero_copy_only=False))
+        for points in gathered(batches):
             for number, tree in enumerate(trees):
                 row, leaf, home = tree.place(points)
                 columns = [pa.array(np.full(len(row), number, dtype=np.int32)), pa.array(leaf), pa.array(signed(points[row])), pa.array(home)]
                 yield pa.RecordBatch.from_arrays(columns, ["tree", "leaf", "fp", "home"])
 
     placed = stored(prints.select("fp").mapInArrow(place, "tree int, leaf int, fp long, home boolean"), "shards")
-    # A row per shard: its size is bounded by blocks * MAX_LEAVES, whatever the corpus.
-    sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / cell_size).alias("chunks"))
+    # A row per shard that is cut: bounded by blocks * MAX_LEAVES, whatever the corpus.
+    cut = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / cell_size).alias("chunks")).where("chunks > 1")
     celled = (
-        placed.join(F.broadcast(sizes), ["tree", "leaf"])
+        placed.join(F.broadcast(cut), ["tree", "leaf"], "left")
+        .withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
         .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
         .select("tree", "leaf", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "fp", "home")
