@@ -86,6 +86,19 @@ def test_shorter_contexts_where_the_n_grams_do_not_fit(spark, monkeypatch):
     assert any(abs(r["url_score"] - less[i]["url_score"]) > 1e-6 for i, r in whole.items())
 
 
+def test_url_scores_are_the_same_over_many_shards(spark, monkeypatch):
+    rows = prepare(spark).createDataFrame([(r["page_id"], r["url"]) for r in pages(spark, 1).collect()], "page_id long, url string")
+    whole = {r["page_id"]: r for r in urls.url_filter(rows).collect()}
+    monkeypatch.setattr(urls, "GRAMS_PER_SHARD", 100)
+    assert {r["page_id"]: r for r in urls.url_filter(rows).collect()} == whole
+
+
+def test_contexts_keep_their_length_in_a_table_of_many_n_grams(spark):
+    text = F.concat(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 512))), F.lit("/"))
+    order, grams = urls._fit(prepare(spark).range(40_000).select(text.alias("text"), (F.col("id") % 2 == 0).alias("allow")))[1:]
+    assert grams > 4_000_000 and order == urls.ORDER
+
+
 def by_hand(docs, trusted, bits):
     raw, target = Counter(), Counter()
     found = {}
