@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import SPACE, mixed, prepare, text_pieces, words
+from tarnlake.llm.common import SPACE, mixed, prepare, stored, text_pieces, words
 
 #: Buckets of the two multinomials: at least so many for the square root of the corpus' distinct
 #: n-grams, and 2^LEAST_BITS. They grow with the corpus; 2^25 (16 bytes each) serve 10^12 n-grams.
@@ -23,8 +23,8 @@ BUCKETS_PER_ROOT = 32
 LEAST_BITS = 16
 #: The distinct n-grams are counted in this many registers, to some two percent.
 REGISTER_BITS = 12
-#: Labelled documents that fit the trusted side, and that set the threshold, of each label.
-LABEL_SAMPLE = 20_000
+#: Up to so many labelled ids, some 100 MB, are sent to every task; more are joined as Spark chooses.
+SENT_LABELS = 2_000_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
@@ -120,31 +120,37 @@ def score(tokens: list[bytes], ratios: np.ndarray) -> float:
     return float(ratios[buckets(tokens, len(ratios).bit_length() - 1)].mean()) if tokens else 0.0
 
 
-def _label_ids(labels, id_column, quality, fold):
-    """Ids of up to ``LABEL_SAMPLE`` documents, the same on every run; toxic ones are never trusted."""
+#: What a labelled document is for.
+FITS, HOLDS, REJECTED = 0, 1, 2
+
+
+def _label_uses(labels, id_column):
+    """All labelled ids (``id``) with their ``use``, the same on every run; toxic ones are never trusted."""
     judged = labels.groupBy(F.col(id_column).cast("long").alias("id")).agg(
         F.min("quality").alias("low"), F.max("quality").alias("high"), F.max("toxic").alias("toxic")
     )
-    chosen = judged.where((F.col("low") == quality) & (F.col("high") == quality) & F.col("id").isNotNull())
-    if quality:
-        chosen = chosen.where(F.coalesce("toxic", F.lit(0)) == 0)
-    place = F.xxhash64(F.lit("quality"), "id")
-    return chosen.where(F.pmod(place, F.lit(2)) == fold).orderBy(place, "id").limit(LABEL_SAMPLE).select("id")
+    both = lambda quality: (F.col("low") == quality) & (F.col("high") == quality)
+    half = F.pmod(F.xxhash64(F.lit("quality"), "id"), F.lit(2)).cast("int")
+    use = F.when(both(1) & (F.coalesce("toxic", F.lit(0)) == 0), half).when(both(0), F.lit(REJECTED))
+    return judged.where("id IS NOT NULL").select("id", use.alias("use")).where("use IS NOT NULL")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", bits: int | None = None) -> QualityModel:
     """The model: n-gram counts over all documents, the trusted side from labelled ones.
 
-    Of the documents labelled 1 (and not toxic) one half, by a hash of the id, fits the
-    trusted side; the other half, and documents labelled 0, set the threshold. It lies a third
+    Of all documents labelled 1 (and not toxic) one half, by a hash of the id, fits the
+    trusted side; the other half, and all documents labelled 0, set the threshold. It lies a third
     of the way from the score that all but ``TRUSTED_TAIL`` of the trusted documents reach to
     the median of the rejected ones, so that clean documents are well above it; with no
     rejected ones it is one unit below the former. Without trusted documents nothing is rejected.
     """
     spark = prepare(docs.sparkSession)
-    trusted = np.sort([r[0] for r in _label_ids(labels, id_column, 1, 0).collect()])
-    if not len(trusted):
+    uses = stored(_label_uses(labels, id_column), "label-uses")
+    numbers = {r["use"]: r["count"] for r in uses.groupBy("use").count().collect()}
+    if FITS not in numbers:
         return QualityModel(None, 0.0)
+    # Of labels sent to all tasks, the texts of the documents stay where they are.
+    sent = F.broadcast if sum(numbers.values()) <= SENT_LABELS else lambda df: df
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     bits = bits or bucket_bits(distinct_ngrams(rows))
     size = 1 << bits
@@ -152,8 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch, texts in text_pieces(batches, "text"):
-            ids = batch.column("id")
-            good = np.isin(ids.fill_null(0).to_numpy(), trusted) & ids.is_valid().to_numpy(zero_copy_only=False)
+            good = batch.column("use").fill_null(REJECTED).to_numpy() == FITS
             found = [buckets(words(text), bits) for text in texts]
             raw += np.bincount(np.concatenate(found), minlength=size)
             if good.any():
@@ -161,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
 
-    table = rows.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    marked = rows.join(sent(uses), "id", "left").select("text", "use")
+    table = marked.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     counted = table.toArrow()
     raw, target = np.zeros(size), np.zeros(size)
     place = counted.column("bucket").to_numpy()
@@ -169,11 +175,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     # One more count per bucket on either side: what neither has seen says nothing.
     ratios = np.log((target + 1) / (target.sum() + size)) - np.log((raw + 1) / (raw.sum() + size))
 
-    # At most 2 * LABEL_SAMPLE ids are broadcast; the texts of these documents stay where they are.
-    held_out = _label_ids(labels, id_column, 1, 1).withColumn("good", F.lit(True)).unionAll(
-        _label_ids(labels, id_column, 0, 0).unionAll(_label_ids(labels, id_column, 0, 1)).limit(LABEL_SAMPLE).withColumn("good", F.lit(False))
-    )
-
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_pieces(batches, "text"):
             bins, good = [], []
@@ -184,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
                     good.append(is_good)
             yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int64()), pa.array(good, pa.bool_())], ["bin", "good"])
 
-    bins = rows.join(F.broadcast(held_out), "id").select("text", "good").mapInArrow(score_rows, "bin long, good boolean")
+    held_out = uses.where(F.col("use") != FITS).select("id", (F.col("use") == HOLDS).alias("good"))
+    bins = rows.join(sent(held_out), "id").select("text", "good").mapInArrow(score_rows, "bin long, good boolean")
     seen = bins.groupBy("good", "bin").agg(F.count(F.lit(1)).alias("n")).orderBy("good", "bin").collect()
     good = [(r["bin"], r["n"]) for r in seen if r["good"]]
     bad = [(r["bin"], r["n"]) for r in seen if not r["good"]]

@@ -135,6 +135,29 @@ def test_quality_scores_and_verdicts(spark):
         assert r["kept"] == (not r["base_failed"] and scores[i] >= threshold), (i, scores[i], threshold)
 
 
+def test_all_labelled_documents_make_the_model(spark):
+    """Beyond 20 000 of a label: short ones, which fit the trusted side, and long ones, which set the threshold."""
+    n = 50_000
+    word = F.concat(F.lit("w"), F.col("id"))
+    docs = prepare(spark).range(n + 20).select("id", F.when(F.col("id") < n, word).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(word, F.lit("x"), i)), " ")).alias("text"))
+    labels = spark.range(n + 20).selectExpr("id", "1 AS quality", "0 AS toxic")
+    model = quality.fit(docs, labels, "id", "text", bits=22)
+    short = docs.where(F.col("id") < n).where(F.pmod(F.xxhash64(F.lit("quality"), "id"), F.lit(2)) == 0).collect()
+    assert len(short) > 24_000
+    trusted = sum(quality.score([r["text"].encode()], model.ratios) > 0 for r in short)
+    assert trusted > 0.97 * len(short)
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_labels_meet_documents_the_same_way_sent_or_shuffled(spark, monkeypatch, bound):
+    docs = prepare(spark).read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").where("doc_id % 5 = 0").persist()
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    usual = quality.fit(docs, labels, bits=16)
+    monkeypatch.setattr(quality, "SENT_LABELS", bound)
+    other = quality.fit(docs, labels, bits=16)
+    assert usual.threshold == other.threshold and (usual.ratios == other.ratios).all()
+
+
 def test_more_buckets_give_the_same_verdicts(spark):
     docs = prepare(spark).read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").persist()
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
