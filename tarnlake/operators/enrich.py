@@ -32,7 +32,8 @@ def enrich(
     differs between the tables are left to Spark.
 
     With ``spread`` nothing is searched for: samples of every site go over that many tasks, and 1
-    says that no site is hot.
+    says that no site is hot. Spark's estimate does not count the copies that this makes of all sites:
+    they are shuffled, not broadcast, where so many times the estimate is above its limit.
 
     A column that two tables share gets the suffix of the later one (``_METHODE``, ``_SITE``).
     """
@@ -46,7 +47,7 @@ def enrich(
     same_site = [F.col(f"{k}_LTM") == F.col(f"{k}_SITE") for k in site_keys]
     parts = _parts(samples, sites, site_keys, spread)
     if parts:
-        left = _dealt(left, [f"{k}_LTM" for k in site_keys], parts, "__part_l")
+        left = _shuffled(_dealt(left, [f"{k}_LTM" for k in site_keys], parts, "__part_l"), described, parts)
         described = _copied(described, [f"{k}_SITE" for k in site_keys], parts, "__part_r")
         same_site.append(F.col("__part_l") == F.col("__part_r"))
     joined = left.join(described, same_site, "left")
@@ -70,7 +71,8 @@ def enrich_sql(
     same_site = " AND ".join(f"s.`{k}` = t.`{k}`" for k in site_keys)
     parts = _parts(samples, sites, site_keys, spread)
     if parts:
-        samples, sites = (f(t, site_keys, parts, "__part") for f, t in ((_dealt, samples), (_copied, sites)))
+        samples = _shuffled(_dealt(samples, site_keys, parts, "__part"), sites, parts)
+        sites = _copied(sites, site_keys, parts, "__part")
         same_site += " AND s.__part = t.__part"
     return samples.sparkSession.sql(
         f"""
@@ -98,11 +100,16 @@ def _parts(samples, sites, site_keys, spread):
     return found.pieces(found.total / (4 * tasks)) if found.rows else None
 
 
-def _broadcastable(df):
-    """Whether Spark, by its own estimate and limit, would send the table to every task."""
+def _broadcastable(df, copies=1):
+    """Whether Spark, by its own estimate and limit, would send so many copies of the table to every task."""
     state = df.sparkSession._jsparkSession.sessionState()
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= state.conf().autoBroadcastJoinThreshold()
+    return copies * int(str(estimate)) <= state.conf().autoBroadcastJoinThreshold()
+
+
+def _shuffled(dealt, described, parts):
+    """Dealt samples, which keep Spark from sending the copies of ``described`` to every task if they are too large."""
+    return dealt.hint("merge") if isinstance(parts, int) and not _broadcastable(described, parts) else dealt
 
 
 def _dealt(df, keys, parts, name):

@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.operators import enrich, except_all, latest_per_key, row_number_desc
+from tarnlake.operators import enrich, enrich_sql, except_all, latest_per_key, row_number_desc
+from tarnlake.session import work_folder
 
 
 @pytest.fixture(scope="module")
@@ -89,6 +90,26 @@ def test_samples_of_a_hot_site_are_spread(spark, hot):
     assert re.search(r"Exchange hashpartitioning\(SITE_ID_LTM#\d+, PROGRAM_ID_LTM#\d+, __part_l#\d+", plan)
 
 
+@pytest.mark.parametrize("form", [enrich, enrich_sql])
+@pytest.mark.parametrize("times, shuffled", [(4, True), (400, False)])
+def test_copies_of_sites_are_broadcast_only_where_all_copies_are_small(spark, hot, form, times, shuffled):
+    samples = hot.select(F.col("k").alias("SITE_ID"), (F.col("k") % 2).alias("PROGRAM_ID"), "tie")
+    folder = work_folder(spark, "sites")
+    samples.select("SITE_ID", "PROGRAM_ID").distinct().write.mode("overwrite").parquet(folder)
+    sites = spark.read.parquet(folder)
+    methods = spark.createDataFrame([(1, "m")], "PROGRAM_ID int, METHOD string").limit(0)
+    size = int(str(sites._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(times * size))
+    try:
+        joined = form(samples, sites, methods, spread=8)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == samples.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert bool(re.search(r"SortMergeJoin \[SITE_ID\w*#\d+, PROGRAM_ID\w*#\d+L?, __part", plan)) == shuffled
+
+
 def test_collapse_sends_one_row_per_key_and_task(spark, hot):
     """A hot key is reduced before the shuffle: the plan aggregates on both sides of it."""
     plan = latest_per_key(hot, ["k"], "d", ["tie"])._jdf.queryExecution().executedPlan().toString()
