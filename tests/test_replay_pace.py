@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.session import work_folder
-from tarnlake.streaming import cut_for_replay, finish
-from tarnlake.streaming.replay import numbered_in_order
+from tarnlake.session import folders_like, unless_set, work_folder
+from tarnlake.streaming import cut_for_replay, finish, replay
+from tarnlake.streaming.replay import _LOGS, numbered_in_order
 from workloads.queries import QUERIES
 
 
@@ -42,3 +42,35 @@ def test_nothing_to_replay(spark):
     stream = cut_for_replay(none, 5).writeStream.foreachBatch(lambda df, _: seen.append(df.count()))
     finish(stream.option("checkpointLocation", work_folder(spark, "p")).trigger(processingTime="0 seconds").start(), 60)
     assert sum(seen) == 0
+
+
+def test_logs_of_a_long_replay_do_not_pile_up(spark, monkeypatch):
+    rows = spark.range(0, 30, 1, 1).select(F.col("id").cast("string").alias("text"))
+    target, checkpoint = work_folder(spark, "out"), work_folder(spark, "p")
+    key, least = "spark.sql.streaming.fileSink.log.cleanupDelay", "spark.sql.streaming.minBatchesToRetain"
+    for k in _LOGS:
+        monkeypatch.setitem(_LOGS, k, "0s")
+    spark.conf.set(least, "2")
+    try:
+        finish(replay(cut_for_replay(rows, 1), target, checkpoint, "0 seconds"), 120)
+    finally:
+        spark.conf.unset(least)
+    for log in (f"{checkpoint}/sources/0", f"{target}/_spark_metadata"):
+        assert 0 < len(folders_like(spark, f"{log}/*")) < 20
+    assert sorted(int(r["value"].split('"')[3]) for r in spark.read.text(target).collect()) == list(range(30))
+    assert spark.conf.get(key, None) is None
+
+
+def test_settings_of_the_session_stay(spark):
+    key = "spark.sql.streaming.fileSink.log.cleanupDelay"
+    spark.conf.set(key, "7s")
+    try:
+        with unless_set(spark, {key: "60s"}):
+            assert spark.conf.get(key) == "7s"
+        assert spark.conf.get(key) == "7s"
+    finally:
+        spark.conf.unset(key)
+    with pytest.raises(ValueError), unless_set(spark, {key: "60s"}):
+        assert spark.conf.get(key) == "60s"
+        raise ValueError
+    assert spark.conf.get(key, None) is None
