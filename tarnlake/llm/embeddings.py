@@ -53,8 +53,8 @@ DISTANCES_AT_ONCE = 1 << 22
 #: Directions of a code, and the steps on either side of zero: squared distances of codes stay below 2^24,
 #: where whole numbers are exact in single precision.
 DIRECTIONS, STEPS = 24, 127
-#: Codes of a shard that meet in a task; visits that a task gathers before it hands on their codes.
-CODES_PER_CELL = 1 << 17
+#: Codes of a shard, and pairs of them, that meet in a task, about; visits that a task gathers before it hands on their codes.
+CODES_PER_CELL, PAIRS_PER_CELL = 3 << 17, 1 << 33
 VISITS_AT_ONCE = 1 << 18
 #: Classes at home of a region of a shard, about, the most regions, and the most visits to them: beyond, all codes meet.
 REGION, MOST_REGIONS, REGION_VISITS = 128, 512, 1 << 22
@@ -144,10 +144,12 @@ def _layouts(classes: DataFrame, radius: float) -> dict[tuple[int, int], Layout]
                 mean = x[nearest == c].mean(axis=0)
                 centers[c] = mean / (np.linalg.norm(mean) or 1.0)
         centers = np.unique(centers, axis=0)
-        visits = np.bincount(_places(x, centers, radius)[1], minlength=len(centers)) * (n / len(x))
+        _, shards, homes = _places(x, centers, radius)
+        visits, at_home = (np.bincount(found, minlength=len(centers)) * (n / len(x)) for found in (shards, homes))
+        chunks = np.ceil(np.maximum(visits / CODES_PER_CELL, np.sqrt(visits * at_home / PAIRS_PER_CELL))).astype(np.int64)
         directions = _directions(x, rng)
         step = float(np.abs(x @ directions).max()) / STEPS
-        out[label, length] = Layout(centers, np.maximum(1, np.ceil(visits / CODES_PER_CELL)).astype(np.int64), directions, step or 1.0)
+        out[label, length] = Layout(centers, np.maximum(1, chunks), directions, step or 1.0)
     return out
 
 
